@@ -154,8 +154,9 @@ def silhouette_euclidean(
     )
 
 
-def _distance_sums(left: pd.DataFrame, right: pd.DataFrame, tile: int = 512) -> pd.DataFrame:
+def _distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """Distances of the left rows to the right rows, added up per right cluster."""
+    tile = 512
     if left.empty or right.empty:
         return pd.DataFrame({"id": [], "c": [], "other": [], "total": []})
     groups = {c: np.stack(part["x"].to_numpy()) for c, part in right.groupby("c")}

@@ -79,24 +79,30 @@ def mean_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles, per group or overall."""
-    keys = [group] if group else []
-    moments = df.groupBy(*keys).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
+def describe(
+    df: DataFrame, value: str, group: str | None = None, max_distinct: int = scale.MAX_DISTINCT
+) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles, per group or overall.
+
+    The source is read once, to count its values; all figures come from the counts.
+    """
+    key = group or "_all"
+    values = df if group else df.withColumn(key, F.lit(0))
+    counts = scale.value_counts(values, value, [key])
+    x, c = F.col(value), F.col("_c")
+    totals = counts.groupBy(key).agg(
+        F.sum(c).alias("count"),
+        (F.sum(x * c) / F.sum(c)).alias("mean"),
+        F.min(x).cast("double").alias("min"),
+        F.max(x).cast("double").alias("max"),
     )
-    quartiles = scale.exact_quantiles(df, value, QUARTILES, keys)
-    if keys:
-        joined = moments.join(quartiles, group, "left")
-    else:
-        row = quartiles.select(F.struct("q0", "q1", "q2").alias("q")).scalar()
-        joined = moments.withColumn("_q", row).select("*", "_q.*")
-    return joined.select(
-        *keys, "count", "mean", "std", "min",
+    quartiles = scale.exact_quantiles(counts, value, QUARTILES, [key], max_distinct)
+    summary = totals.join(quartiles, key)
+    centred = scale.lookup_join(counts, totals.select(key, "mean", "count"), [key], [value])
+    deviation = F.try_divide(F.sum((x - F.col("mean")) * (x - F.col("mean")) * c), F.first("count") - 1)
+    spread = centred.groupBy(key).agg(F.sqrt(deviation).alias("std"))
+    return summary.join(spread, key).select(
+        *([group] if group else []), "count", "mean", "std", "min",
         F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max",
     )
 

@@ -77,18 +77,21 @@ def fit(series: DataFrame, design: Design = Design()) -> DataFrame:
         span = max(days[-1] - days[0], 1.0)
         t = (days - days[0]) / span
         y = pdf["y"].to_numpy(dtype=float)
-        count = min(design.changepoints, max(len(t) - 2, 0))
-        last = int(math.floor(len(t) * design.changepoint_range)) - 1
-        picks = np.unique(np.linspace(0, max(last, 0), count + 1).round().astype(int)[1:])
-        knots = t[picks] if count and last > 0 else np.array([])
+        scale = np.abs(y).max() or 1.0
+        history = int(len(t) * design.changepoint_range)
+        count = max(min(design.changepoints, history - 1), 0)
+        picks = np.linspace(0, max(history - 1, 0), count + 1).round().astype(int)[1:]
+        knots = t[np.unique(picks)]
         hinges = [np.clip(t - k, 0.0, None) for k in knots]
-        yearly = _fourier(days, YEAR, design.yearly)
-        weekly = _fourier(days, WEEK, design.weekly)
+        # A season needs two full periods, the weekly one also days closer than a week.
+        has_weeks = span >= 2 * WEEK and len(days) > 1 and np.diff(days).min() < WEEK
+        yearly = _fourier(days, YEAR, design.yearly) if span >= 730 else []
+        weekly = _fourier(days, WEEK, design.weekly) if has_weeks else []
         x = np.column_stack([np.ones_like(t), t, *hinges, *yearly, *weekly])
         penalty = np.zeros(x.shape[1])
         penalty[2 : 2 + len(knots)] = design.ridge
         rows = np.vstack([x, np.diag(np.sqrt(penalty))])
-        beta = np.linalg.lstsq(rows, np.concatenate([y, np.zeros(x.shape[1])]), rcond=None)[0]
+        beta = np.linalg.lstsq(rows, np.concatenate([y / scale, np.zeros(x.shape[1])]), rcond=None)[0] * scale
         a, b = 2 + len(knots), 2 + len(knots) + len(yearly)
         return pd.DataFrame(
             {
