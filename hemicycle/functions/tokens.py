@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
@@ -44,6 +44,11 @@ def distinct_in_order(tokens: Column) -> Column:
     return F.array_distinct(tokens)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where the body repeats it per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_tokens(text: Column) -> Column:
     """Words and numbers in order, case kept, punctuation dropped."""
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
@@ -54,6 +59,28 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
+def term_counts(text: Column) -> Column:
+    """``array<struct<term, tf>>``: distinct terms of a text, ascending, with their counts.
+
+    The sorted terms are cut into runs, so a text is counted where it is read and
+    needs no shuffle of its tokens.
+    """
+
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(
+            places, lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2))
+        )
+        return let(starts, lambda begin: F.transform(begin, lambda i, k: entry(ordered, begin, n, i, k)))
+
+    def entry(ordered: Column, begin: Column, n: Column, i: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(begin, k + 1), n + 1)
+        return F.struct(F.get(ordered, i - 1).alias("term"), (end - i).alias("tf"))
+
+    return let(F.sort_array(terms(text)), runs)
+
+
 def looks_like_number(token: Column, lang: str = "es") -> Column:
     return token.rlike(r"^\p{N}+$") | token.isin(*K.NUMBER_WORDS[lang])
 

@@ -6,6 +6,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .tokens import let
+
 FLOAT_PATTERN = r"(-?\d*\.\d+)"
 
 
@@ -47,5 +49,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector scaled to length one; a zero vector stays zero."""
-    size = norm(a)
-    return F.transform(a, lambda x: F.when(size > 0, x / size).otherwise(F.lit(0.0)))
+
+    def scaled(size: Column) -> Column:
+        return F.transform(a, lambda x: F.when(size > 0, x / size).otherwise(F.lit(0.0)))
+
+    return let(norm(a), scaled)

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as X
+from ..session import stored
 from .keywords import keyword_arrays
 from .segments import headline_pairs
 
 
 def _joined(position: str, piece: str) -> Column:
     """Concatenate the pieces of a group by position."""
-    ordered = F.array_sort(F.collect_list(F.struct(position, piece)))
+    ordered = F.sort_array(F.collect_list(F.struct(position, piece)))
     return F.array_join(F.transform(ordered, lambda e: e[piece]), "")
 
 
@@ -63,18 +64,21 @@ def session_records(
     stop_words: list[str] | None = None,
     threshold: float = 0.1,
 ) -> DataFrame:
-    """One record per document: info, texts, headline pairs, keywords per intervention."""
+    """One record per document: info, texts, headline pairs, keywords per intervention.
+
+    Cleaned texts and pairs are stored, so that every text is cleaned and split once.
+    """
     cleaned = documents.select(
         F.col(doc_id).alias("session_id"),
         F.col(raw_text).alias("raw_text"),
         X.clean_raw_text(F.col(raw_text)).alias("clean_text"),
     )
-    info = with_session_info(cleaned, "clean_text")
-    pairs = headline_pairs(info.select("session_id", "clean_text"), "session_id", "clean_text")
+    info = stored(with_session_info(cleaned, "clean_text"), "sessions")
+    pairs = stored(headline_pairs(info.select("session_id", "clean_text"), "session_id", "clean_text"), "pairs")
     words = keyword_arrays(
         pairs, session="session_id", doc="pair", text="body", stop_words=stop_words, threshold=threshold
     )
-    in_order = F.array_sort(F.collect_list(F.struct("pair", "headline", "body", "keywords")))
+    in_order = F.sort_array(F.collect_list(F.struct("pair", "headline", "body", "keywords")))
     per_session = (
         pairs.join(words.select("session_id", "pair", "keywords"), ["session_id", "pair"])
         .groupBy("session_id")

@@ -20,9 +20,12 @@ def full_table(clusters: DataFrame, interventions: DataFrame, sessions: DataFram
 
 
 def with_measures(df: DataFrame, words: str = "intervention_words", date: str = "date") -> DataFrame:
-    """Add the number of words and the year."""
+    """Add the number of words (unless counted before) and the year."""
     day = F.to_date(date)
-    return df.withColumns({"num_words": F.size(words), date: day, "year": F.year(day)})
+    added = {date: day, "year": F.year(day)}
+    if "num_words" not in df.columns:
+        added["num_words"] = F.size(words)
+    return df.withColumns(added)
 
 
 def keep_clusters(df: DataFrame, labels: Sequence[int], cluster: str = "cluster") -> DataFrame:
@@ -108,20 +111,22 @@ def describe(
 
 
 def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
-    """``(bin, low, high, count)`` for equal-width bins from 1; the maximum lands in the last."""
+    """``(bin, low, high, count)`` for equal-width bins from 1; the maximum lands in the last.
+
+    The source is read once, to count its values.
+    """
     x = F.col(value).cast("double")
-    values = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    low, high = values.agg(F.min("_x")).scalar(), values.agg(F.max("_x")).scalar()
+    counts = scale.value_counts(df.select(x.alias("_x")), "_x", [])
+    low, high = counts.agg(F.min("_x")).scalar(), counts.agg(F.max("_x")).scalar()
     placed = F.when(high > low, F.least(F.width_bucket("_x", low, high, F.lit(bins)), F.lit(bins)))
-    counts = (
-        values.select(F.coalesce(placed, F.lit(1)).cast("int").alias("bin"))
+    binned = (
+        counts.select(F.coalesce(placed, F.lit(1)).cast("int").alias("bin"), "_c")
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_c").alias("count"))
     )
     width = (high - low) / bins
-    return counts.select(
-        "bin", (low + (F.col("bin") - 1) * width).alias("low"), (low + F.col("bin") * width).alias("high"), "count"
-    )
+    start = low + (F.col("bin") - 1) * width
+    return binned.select("bin", start.alias("low"), (start + width).alias("high"), "count")
 
 
 # --- rankings ----------------------------------------------------------------
@@ -187,7 +192,7 @@ def sample_fraction(
 
 def ids_by_cluster(sample: DataFrame, cluster: str, row_id: str) -> DataFrame:
     """Cluster to sorted list of sampled ids; the sample bounds the list."""
-    return sample.groupBy(cluster).agg(F.array_sort(F.collect_list(row_id)).alias("ids"))
+    return sample.groupBy(cluster).agg(F.sort_array(F.collect_list(row_id)).alias("ids"))
 
 
 def sample_texts(

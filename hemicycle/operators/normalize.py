@@ -36,7 +36,7 @@ def normalize_tokens(
     entry = F.when(
         F.col("word").isNotNull(), F.struct("_pos", F.coalesce("lemma", "word").alias("token"))
     )
-    in_order = F.array_sort(F.collect_list(entry))
+    in_order = F.sort_array(F.collect_list(entry))
     return (
         found.groupBy(doc)
         .agg(in_order.alias("_t"))

@@ -18,7 +18,7 @@ def fit_patterns(
 
 
 def _sorted_items(col: str) -> F.Column:
-    return F.array_sort(col).alias(col)
+    return F.sort_array(col).alias(col)
 
 
 def per_cluster(
@@ -69,7 +69,7 @@ def predicted_items(
     """The baskets with the consequents that the rules of their cluster suggest."""
     parts = [
         m.transform(baskets.filter(F.col(cluster) == label)).withColumn(
-            "prediction", F.array_sort("prediction")
+            "prediction", F.sort_array("prediction")
         )
         for label, m in models.items()
     ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stored
 
 #: Positions per chunk of the ordered scan.
 CHUNK = 10_000
@@ -79,7 +80,7 @@ def pair_events(events: DataFrame, session: str, chunk: int = CHUNK) -> DataFram
     grouped = scanned.join(carried, key).withColumn(
         "pair", F.col("_base") + F.sum(opened).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
     )
-    parts = F.array_sort(F.collect_list(F.struct("pos", "kind", "part")))
+    parts = F.sort_array(F.collect_list(F.struct("pos", "kind", "part")))
     spoken = F.filter("_parts", lambda p: p["kind"] == "T")
     titles = F.filter("_parts", lambda p: p["kind"] != "T")
     return (
@@ -97,5 +98,8 @@ def pair_events(events: DataFrame, session: str, chunk: int = CHUNK) -> DataFram
 
 
 def headline_pairs(df: DataFrame, session: str, text_col: str, chunk: int = CHUNK) -> DataFrame:
-    """Headline and speech pairs of each text, numbered in order from 1."""
-    return pair_events(segment_events(df, session, text_col), session, chunk)
+    """Headline and speech pairs of each text, numbered in order from 1.
+
+    The events are read twice, once without their text, and therefore stored.
+    """
+    return pair_events(stored(segment_events(df, session, text_col), "events"), session, chunk)

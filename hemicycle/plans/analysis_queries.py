@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..operators import explore
 from . import sql as Q
 from .registry import query
-from .tables import clusters, digest, interventions, sessions, table, vectors
+from .tables import clusters, digest, interventions, sessions, speech_lengths, table, vectors
 
 LABELS = list(range(10))
 
@@ -19,6 +19,12 @@ def _full(spark, d):
     return explore.with_measures(full)
 
 
+def _lengths(spark, d):
+    """The analysis table with word counts in place of the words: little to shuffle."""
+    full = explore.full_table(clusters(spark, d), speech_lengths(spark, d), sessions(spark, d))
+    return explore.with_measures(full)
+
+
 @query(
     "WITH"
     + Q.FULL
@@ -99,12 +105,12 @@ _PIVOT = ", ".join(f"count_if(cluster = {c}) AS cluster_{c}" for c in LABELS)
 
 @query("WITH" + Q.FULL + f"SELECT len(words)::INT AS num_words, {_PIVOT} FROM full_table GROUP BY ALL")
 def length_pivot(spark, d):
-    return explore.count_pivot(_full(spark, d), "num_words", "cluster", LABELS)
+    return explore.count_pivot(_lengths(spark, d), "num_words", "cluster", LABELS)
 
 
 @query("WITH" + Q.FULL + f"SELECT year(date)::INT AS year, {_PIVOT} FROM full_table GROUP BY ALL")
 def year_pivot(spark, d):
-    return explore.count_pivot(_full(spark, d), "year", "cluster", LABELS)
+    return explore.count_pivot(_lengths(spark, d), "year", "cluster", LABELS)
 
 
 @query(
@@ -113,7 +119,7 @@ def year_pivot(spark, d):
     + "SELECT year(date)::INT AS year, round(avg(len(words)), 6) AS avg_words FROM full_table GROUP BY ALL"
 )
 def yearly_mean(spark, d):
-    means = explore.mean_by(_full(spark, d), "year", "num_words", "avg_words")
+    means = explore.mean_by(_lengths(spark, d), "year", "num_words", "avg_words")
     return means.select("year", F.round("avg_words", 6).alias("avg_words"))
 
 
@@ -133,7 +139,7 @@ def _rounded(described):
 
 @query("WITH" + Q.FULL + f"SELECT cluster, {_DESCRIBE} FROM (SELECT cluster, len(words)::DOUBLE AS v FROM full_table) GROUP BY cluster")
 def words_describe(spark, d):
-    return _rounded(explore.describe(_full(spark, d).select("cluster", "num_words"), "num_words", "cluster"))
+    return _rounded(explore.describe(_lengths(spark, d).select("cluster", "num_words"), "num_words", "cluster"))
 
 
 @query(f"SELECT {_DESCRIBE} FROM (SELECT embedding[1]::DOUBLE AS v FROM embeddings)")
@@ -163,7 +169,7 @@ FROM v, e GROUP BY ALL
 """
 )
 def words_histogram(spark, d):
-    bins = explore.histogram(_full(spark, d).select("num_words"), "num_words", 100)
+    bins = explore.histogram(_lengths(spark, d).select("num_words"), "num_words", 100)
     return bins.select("bin", F.round("low", 6).alias("low"), "count")
 
 

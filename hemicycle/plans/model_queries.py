@@ -12,6 +12,7 @@ from ..operators import clusters as C
 from ..operators import features as L
 from ..operators import patterns as P
 from ..operators import representatives as R
+from ..session import stored
 from . import sql as Q
 from .registry import query
 from .tables import table, vectors
@@ -347,7 +348,8 @@ rules AS (
 
 def _baskets(spark, d):
     documents = table(spark, d, "documents").select("doc_id", F.col("lang").alias("cluster"), "text")
-    return N.baskets(documents, "text").drop("text")
+    baskets = N.baskets(documents, "text").select("doc_id", "items", "cluster")
+    return stored(baskets, "baskets", ("cluster",))
 
 
 def _models(spark, d):

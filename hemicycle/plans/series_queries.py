@@ -93,11 +93,34 @@ def forecast_components(spark, d):
     return _text_day(out.select("cluster", "ds", *[F.round(c, 4).alias(c) for c in ("trend", "weekly", "yearly", "yhat")]))
 
 
-@query()
+WEEKS = S.Design(changepoints=0, yearly=0, weekly=3)
+
+
+@query(
+    """
+WITH daily AS (SELECT event_type AS cluster, ts::DATE AS ds, count(*) AS y FROM events GROUP BY ALL),
+t AS (SELECT *, date_diff('day', DATE '1970-01-01', ds) AS t, isodow(ds) AS dow FROM daily),
+m AS (SELECT cluster, dow, avg(t) AS mt, avg(y) AS my FROM t GROUP BY ALL),
+slope AS (
+  SELECT cluster, sum((t - mt) * (y - my)) / sum((t - mt) * (t - mt)) AS b
+  FROM t JOIN m USING (cluster, dow) GROUP BY cluster
+),
+levels AS (SELECT cluster, dow, my - b * mt AS a, b FROM m JOIN slope USING (cluster)),
+base AS (SELECT cluster, avg(a) AS a0 FROM levels GROUP BY cluster),
+days AS (
+  SELECT cluster, ds FROM daily UNION ALL
+  SELECT cluster, unnest(generate_series(last + INTERVAL 1 DAY, last + INTERVAL 14 DAY, INTERVAL 1 DAY))::DATE
+  FROM (SELECT cluster, max(ds) AS last FROM daily GROUP BY cluster)
+)
+SELECT d.cluster, d.ds::VARCHAR AS ds, round(a0 + b * date_diff('day', DATE '1970-01-01', d.ds), 5) AS trend,
+       round(a - a0, 5) AS weekly, round(a + b * date_diff('day', DATE '1970-01-01', d.ds), 5) AS yhat
+FROM days d JOIN levels l ON l.cluster = d.cluster AND l.dow = isodow(d.ds) JOIN base ON base.cluster = d.cluster
+"""
+)
 def weekly_components(spark, d):
-    """Trend and weekly parts of a series too short for a yearly cycle."""
-    out = S.forecast(S.daily_counts(table(spark, d, "events"), "event_type", "ts"), 14)
-    return _text_day(out.select("cluster", "ds", *[F.round(c, 4).alias(c) for c in ("trend", "weekly", "yhat")]))
+    """Trend and weekly parts; three weekly harmonics are as good as one level per weekday."""
+    out = S.forecast(S.daily_counts(table(spark, d, "events"), "event_type", "ts"), 14, WEEKS)
+    return _text_day(out.select("cluster", "ds", *[F.round(c, 5).alias(c) for c in ("trend", "weekly", "yhat")]))
 
 
 _COMPARE = (

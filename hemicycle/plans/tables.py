@@ -11,8 +11,16 @@ from ..operators import assembly, keywords
 from ..sources.readers import read_table
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. Text that arrives in fewer splits than there are cores is spread evenly."""
+    df = read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def digest(tokens: Column) -> Column:
@@ -44,6 +52,12 @@ def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def speech_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(intervention_id, session_id, num_words)``: counted where the text is read."""
+    speeches = interventions(spark, sf_dir)
+    return speeches.select("intervention_id", "session_id", F.size("intervention_words").alias("num_words"))
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(session_id, date, chamber)``: one session per document source.
 

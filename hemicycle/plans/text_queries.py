@@ -8,6 +8,7 @@ from ..functions import constants as K
 from ..functions import text as X
 from ..functions import tokens as N
 from ..operators import assembly, explore, normalize, segments
+from ..session import stored
 from . import sql as Q
 from .registry import query
 from .source_queries import _SENTENCES
@@ -249,7 +250,7 @@ def lemma_tokens(spark, d):
     """Content tokens as lemmas; the lemma table maps a plural to a singular that occurs."""
     documents = table(spark, d, "documents")
     surface = normalize.normalize_tokens(documents, "doc_id", "text", K.STOP_WORDS, extra_stop=["artículo"])
-    vocabulary = surface.select(F.explode("tokens").alias("word")).distinct()
+    vocabulary = stored(surface.select(F.explode("tokens").alias("word")).distinct(), "vocabulary")
     singular = vocabulary.select(F.concat("word", F.lit("s")).alias("word"), F.col("word").alias("lemma"))
     lemmas = singular.join(vocabulary, "word", "left_semi")
     out = normalize.normalize_tokens(documents, "doc_id", "text", K.STOP_WORDS, lemmas, extra_stop=["artículo"])
