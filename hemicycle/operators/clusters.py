@@ -15,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from . import features as L
 from ..functions.vectors import to_vector
 from ..scale import lookup_join
+from ..session import side_by_side
 from .explore import drop_clusters
 
 ALGORITHMS = {"kmeans": KMeans, "gmm": GaussianMixture}
@@ -64,13 +65,9 @@ def sweep(
 ) -> DataFrame:
     """Score of every algorithm, feature column and cluster count, best first."""
     kept = df.select(*feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    runs = [(a, k, f) for f in feature_cols for a in algorithms for k in ks]
     try:
-        rows = [
-            fit_and_score(kept, algorithm, k, features, seed)[1]
-            for features in feature_cols
-            for algorithm in algorithms
-            for k in ks
-        ]
+        rows = side_by_side([lambda r=r: fit_and_score(kept, *r, seed)[1] for r in runs])
     finally:
         kept.unpersist()
     table = df.sparkSession.createDataFrame(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import side_by_side
+
 
 def fit_patterns(
     baskets: DataFrame, items: str = "items", min_support: float = 0.01, min_confidence: float = 0.1
@@ -17,7 +19,7 @@ def fit_patterns(
     return FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence).fit(baskets)
 
 
-def _sorted_items(col: str) -> F.Column:
+def _sorted_items(col: str) -> Column:
     return F.sort_array(col).alias(col)
 
 
@@ -30,10 +32,13 @@ def per_cluster(
     min_confidence: float = 0.1,
 ) -> dict[object, FPGrowthModel]:
     """One model per label. Each fit is a distributed job over the rows of its label."""
-    return {
-        label: fit_patterns(baskets.filter(F.col(cluster) == label), items, min_support, min_confidence)
-        for label in labels
-    }
+
+    def fit(label):
+        own = baskets.filter(F.col(cluster) == label)
+        return fit_patterns(own, items, min_support, min_confidence)
+
+    models = side_by_side([partial(fit, label) for label in labels])
+    return dict(zip(labels, models))
 
 
 def frequent_sets(models: dict[object, FPGrowthModel], cluster: str = "cluster") -> DataFrame:

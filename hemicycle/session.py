@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 #: Settings a submitting script would normally pass; all can be overridden.
@@ -38,7 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     A local master may fall back to a fresh temporary folder; a cluster may not,
     because executors on other hosts would not see it.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    configured = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+        or spark.sparkContext.getCheckpointDir()
+    )
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
@@ -59,6 +69,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def side_by_side(actions: Sequence[Callable[[], T]], threads: int = 4) -> list[T]:
+    """Results of independent Spark actions, a few submitted at a time."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(inherit(a)) for a in actions]]
+
+
 def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
