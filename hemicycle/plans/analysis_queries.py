@@ -100,7 +100,7 @@ def date_cluster_counts(spark, d):
     return explore.count_by(dated, "date", "cluster")
 
 
-_PIVOT = ", ".join(f"count_if(cluster = {c}) AS cluster_{c}" for c in LABELS)
+_PIVOT = ", ".join(f"count_if(cluster = {c})::BIGINT AS cluster_{c}" for c in LABELS)
 
 
 @query("WITH" + Q.FULL + f"SELECT len(words)::INT AS num_words, {_PIVOT} FROM full_table GROUP BY ALL")

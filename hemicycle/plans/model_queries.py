@@ -45,7 +45,7 @@ centred AS (SELECT vec_id, i, x - m AS x FROM coords JOIN means USING (i)),
 cov AS (
   SELECT a.i, b.i AS j, sum(a.x * b.x) AS c FROM centred a JOIN centred b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
 )
-SELECT count_if(i = j)::INT AS components, round(1.0, 6) AS ratio_sum,
+SELECT count_if(i = j)::INT AS components, 1.0::DOUBLE AS ratio_sum,
        round(sum(c * c) / (sum(CASE WHEN i = j THEN c ELSE 0 END) ^ 2), 6) AS ratio_square_sum
 FROM cov
 """
@@ -101,7 +101,7 @@ def svd_scores(spark, d):
 
 @query(
     """
-SELECT i::INT AS component, round(1.0, 6) AS squared_length
+SELECT i::INT AS component, 1.0::DOUBLE AS squared_length
 FROM (SELECT DISTINCT unnest(range(0, len(embedding))) AS i FROM embeddings)
 """
 )
