@@ -174,7 +174,7 @@ def sample_n(df: DataFrame, cluster: str, row_id: str, n: int = 5, seed: int = 4
 def sample_fraction(
     df: DataFrame, cluster: str, row_id: str, fraction: float = 0.05, seed: int = 42
 ) -> DataFrame:
-    """Exactly ``round(fraction * rows)`` random rows per cluster.
+    """Exactly ``round(fraction * rows)`` random rows per cluster, halves to the even number.
 
     Rows are numbered by draw key within key buckets, so a large cluster is spread
     over the buckets.
@@ -182,7 +182,7 @@ def sample_fraction(
     keyed = df.withColumn("_draw", draw_key(seed, row_id))
     head = F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int")
     numbered = scale.number_rows(keyed, [cluster], F.struct("_draw", row_id), head, "_nth")
-    quota = df.groupBy(cluster).agg(F.round(F.count(F.lit(1)) * fraction).alias("_quota"))
+    quota = df.groupBy(cluster).agg(F.bround(F.count(F.lit(1)) * fraction).alias("_quota"))
     return (
         scale.lookup_join(numbered, quota, [cluster], [row_id])
         .filter(F.col("_nth") <= F.col("_quota"))

@@ -200,7 +200,7 @@ def sample_ids(spark, d):
     return lists.select("cluster", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
-@query(_draw("round(0.05 * n)"))
+@query(_draw("round_even(0.05 * n, 0)"))
 def sample_fraction(spark, d):
     sample = explore.sample_fraction(vectors(spark, d).select("vec_id", "cluster"), "cluster", "vec_id", 0.05)
     return sample.select("cluster", "vec_id")
