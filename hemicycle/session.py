@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -41,8 +40,8 @@ def build_session(app_name: str = "hemicycle", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local master may fall back to a fresh temporary folder; a cluster may not,
-    because executors on other hosts would not see it.
+    Without that setting it is a folder below ``spark.sql.warehouse.dir``, which every
+    executor has to reach anyway.
     """
     configured = (
         spark.conf.get(CHECKPOINT_KEY, None)
@@ -51,11 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="hemicycle-")
-    spark.conf.set(CHECKPOINT_KEY, fallback)
-    return fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
