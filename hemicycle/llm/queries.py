@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contentsort, hostrules, mixing, slots
+from . import contentsort, fingerprints, hostrules, mixing, packing, slots, tokencounts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,10 @@ def op1_slot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.selectExpr("key AS doc_id", "slot", "shard")
 
 
+def _ranks() -> str:
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def _md5_sql(seed: str, *columns: str) -> str:
     parts = ", ".join([f"'{seed}'", *[f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns]])
     return f"CAST('0x' || substr(md5(concat_ws(':', {parts})), 1, 15) AS BIGINT)"
@@ -132,3 +137,21 @@ FROM f
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and whether it and its host pass."""
     return hostrules.quality_rules(documents(spark, sf_dir))
+
+
+@query()
+def op2_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return fingerprints.near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir), _ranks()).drop("ids")
+
+
+@query()
+def op9_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, from flat token files."""
+    return tokencounts.token_counts(documents(spark, sf_dir), _ranks())
