@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import contentsort, fingerprints, hostrules, mixing, packing, slots, tokencounts
+from . import contentsort, fingerprints, hostrules, mixing, packing, repeats, slots, tokencounts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +156,17 @@ def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, from flat token files."""
     return tokencounts.token_counts(documents(spark, sf_dir), _ranks())
+
+
+@query()
+def op5_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 400 bytes cover."""
+    rest = repeats.remove_repeated_bytes(documents(spark, sf_dir))
+    return rest.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query()
+def op10_doubled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeated windows of 35 words cover."""
+    rest = repeats.remove_repeated_words(documents(spark, sf_dir))
+    return rest.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
