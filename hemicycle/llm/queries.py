@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contentsort, fingerprints, hostrules, mixing, packing, repeats, slots, tokencounts
+from . import contentsort, fingerprints, hostrules, importance, mixing, packing, repeats, slots, tokencounts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,12 @@ def op10_doubled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeated windows of 35 words cover."""
     rest = repeats.remove_repeated_words(documents(spark, sf_dir))
     return rest.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query()
+def op6_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score; as many are kept as the share of good ones among the labelled."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    good = labels.where("quality = 1").select("doc_id")
+    share = labels.agg(F.avg(F.col("quality").cast("double"))).first()[0]
+    return importance.importance_sample(documents(spark, sf_dir), good, 1.0 if share is None else share)

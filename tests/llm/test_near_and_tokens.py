@@ -6,12 +6,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hemicycle.llm import components, fingerprints, packing, tokencounts
 
-from .conftest import CLASH, ODD, make
+from .conftest import ODD
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SF = "/root/testdata/sf0.001/documents.parquet"
@@ -179,8 +178,3 @@ def test_flat_files_are_read_in_blocks(spark, tmp_path):
     blocks = tokencounts.read_token_files(spark, str(tmp_path), block=64)
     got = tokencounts.separator_scan(blocks).orderBy("position").select("n_tokens", "closed").collect()
     assert [tuple(r) for r in got] == [(0, True), (9, True), (489, True), (498, True)]
-
-
-def test_clashing_columns_are_there(clashing):
-    assert set(CLASH) < set(clashing.columns)
-    assert make is not None and F is not None
