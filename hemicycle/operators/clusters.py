@@ -14,7 +14,6 @@ from pyspark.storagelevel import StorageLevel
 
 from . import features as L
 from ..functions.vectors import to_vector
-from ..scale import lookup_join
 from ..session import side_by_side
 from .explore import drop_clusters
 
@@ -134,7 +133,7 @@ def silhouette_euclidean(
     sizes = rows.groupBy(F.col("c").alias("other")).agg(F.count(F.lit(1)).alias("n"))
     own = F.col("c") == F.col("other")
     scored = (
-        lookup_join(sums, sizes, ["other"], ["id"])
+        sums.join(sizes, "other")
         .groupBy("id", "c")
         .agg(
             F.max(F.when(own, F.col("n"))).alias("n"),

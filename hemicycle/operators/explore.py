@@ -16,7 +16,7 @@ from .. import scale
 def full_table(clusters: DataFrame, interventions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Clusters, interventions and session info joined into the analysis table."""
     joined = clusters.join(interventions, "intervention_id")
-    return scale.lookup_join(joined, sessions, ["session_id"], ["intervention_id"])
+    return joined.join(sessions, "session_id")
 
 
 def with_measures(df: DataFrame, words: str = "intervention_words", date: str = "date") -> DataFrame:
@@ -56,13 +56,15 @@ def count_by(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
 
 
 def count_pivot(
-    df: DataFrame, row: str, cluster: str, labels: Sequence[int], prefix: str = "cluster_"
+    df: DataFrame, row: str, cluster: str, labels: Sequence[int] | None = None, prefix: str = "cluster_"
 ) -> DataFrame:
     """Rows per value of ``row`` with one count column per label, zero where empty.
 
     Counts are conditional sums over one partial aggregation, so the labels cost
-    no extra pass. Rows of other labels are left out.
+    no extra pass. Without ``labels`` all that occur get a column; a given list leaves
+    rows of other labels out.
     """
+    labels = labels_of(df, cluster) if labels is None else labels
     kept = keep_clusters(df, labels, cluster)
     per_label = [F.count_if(F.col(cluster) == label).alias(f"{prefix}{label}") for label in labels]
     return kept.groupBy(row).agg(*per_label)
@@ -82,9 +84,7 @@ def mean_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe(
-    df: DataFrame, value: str, group: str | None = None, max_distinct: int = scale.MAX_DISTINCT
-) -> DataFrame:
+def describe(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles, per group or overall.
 
     The source is read once, to count its values; all figures come from the counts.
@@ -99,9 +99,9 @@ def describe(
         F.min(x).cast("double").alias("min"),
         F.max(x).cast("double").alias("max"),
     )
-    quartiles = scale.exact_quantiles(counts, value, QUARTILES, [key], max_distinct)
+    quartiles = scale.exact_quantiles(counts, value, QUARTILES, [key])
     summary = totals.join(quartiles, key)
-    centred = scale.lookup_join(counts, totals.select(key, "mean", "count"), [key], [value])
+    centred = counts.join(totals.select(key, "mean", "count"), key)
     deviation = F.try_divide(F.sum((x - F.col("mean")) * (x - F.col("mean")) * c), F.first("count") - 1)
     spread = centred.groupBy(key).agg(F.sqrt(deviation).alias("std"))
     return summary.join(spread, key).select(
@@ -184,7 +184,7 @@ def sample_fraction(
     numbered = scale.number_rows(keyed, [cluster], F.struct("_draw", row_id), head, "_nth")
     quota = df.groupBy(cluster).agg(F.bround(F.count(F.lit(1)) * fraction).alias("_quota"))
     return (
-        scale.lookup_join(numbered, quota, [cluster], [row_id])
+        numbered.join(quota, cluster)
         .filter(F.col("_nth") <= F.col("_quota"))
         .drop("_draw", "_nth", "_quota")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +11,23 @@ from ..functions.literals import split_nested_list
 
 
 def explode_interventions(
-    sessions: DataFrame, interventions: str = "interventions", session: str = "id", stable_id: bool = True
+    sessions: DataFrame,
+    interventions: str = "interventions",
+    session: str = "id",
+    stable_id: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(session, int_id, intervention)`` from an array column.
+    """``(session, int_id, intervention)`` and the columns in ``keep`` from an array column.
 
-    The stable id hashes session and position, so it does not change with the
-    partitioning; otherwise ids are unique and increasing within a partition.
+    The stable id is a 128-bit digest of session and position, so it does not change with
+    the partitioning; otherwise ids are unique and increasing within a partition.
     """
     exploded = sessions.select(
-        F.col(session).alias("session"), F.posexplode(interventions).alias("_pos", "intervention")
+        F.col(session).alias("session"), F.posexplode(interventions).alias("_pos", "intervention"), *keep
     )
-    int_id = F.xxhash64("session", "_pos") if stable_id else F.monotonically_increasing_id()
-    return exploded.select("session", int_id.alias("int_id"), "intervention")
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("session").cast("string"), F.lit("")), F.col("_pos").cast("string")))
+    int_id = digest if stable_id else F.monotonically_increasing_id()
+    return exploded.select("session", int_id.alias("int_id"), "intervention", *keep)
 
 
 def explode_legacy(sessions: DataFrame, stable_id: bool = True) -> DataFrame:

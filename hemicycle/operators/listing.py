@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,12 +36,30 @@ def prefixed_id(raw_id: Column, prefix: str = "gaceta_") -> Column:
 
 
 def unique_ids(rows: DataFrame, page: str, pos: str, raw_id: str, out: str = "session_id") -> DataFrame:
-    """Prefixed id per row; repetitions on a page get `` (1)``, `` (2)`` and so on."""
-    nth = F.row_number().over(Window.partitionBy(page, raw_id).orderBy(pos)) - 1
-    base = prefixed_id(F.col(raw_id))
-    return rows.withColumn("_nth", nth).withColumn(
-        out, F.when(F.col("_nth") > 0, F.concat(base, F.lit(" ("), "_nth", F.lit(")"))).otherwise(base)
-    ).drop("_nth")
+    """Prefixed id per row, unique on its page.
+
+    In the order of ``pos``, a row whose id is taken gets `` (1)``, `` (2)`` and so on, up
+    to the first that is free. The rows of one page, bounded by its text, are folded
+    together.
+    """
+    others = [c for c in rows.columns if c != page]
+    entry = F.struct(F.col(pos).alias("_at"), F.struct(*others).alias("_row"))
+    pages = rows.groupBy(page).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+
+    def free(taken: Column, raw: Column) -> Column:
+        base = prefixed_id(raw)
+        numbers = F.sequence(F.lit(1), F.size(taken) + 1)
+        numbered = F.transform(numbers, lambda n: F.concat(base, F.lit(" ("), n.cast("string"), F.lit(")")))
+        others_free = F.filter(numbered, lambda name: ~F.array_contains(taken, name))
+        return F.when(F.array_contains(taken, base), F.get(others_free, F.lit(0))).otherwise(base)
+
+    ids = F.aggregate(
+        "_entries",
+        F.array().cast("array<string>"),
+        lambda taken, e: F.concat(taken, F.array(free(taken, e["_row"][raw_id]))),
+    )
+    named = pages.select(page, F.explode(F.arrays_zip(F.col("_entries"), ids.alias("_ids"))).alias("_n"))
+    return named.select(page, *[F.col(f"_n._entries._row.{c}").alias(c) for c in others], F.col("_n._ids").alias(out))
 
 
 def latest_rows(rows: DataFrame, key: str, page: str, pos: str, values: list[str]) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import scale
 from ..functions.tokens import content_tokens
 
 
@@ -32,7 +31,7 @@ def normalize_tokens(
     if lemmas is None:
         return df.select(doc, tokens.alias("tokens"))
     words = df.select(doc, F.posexplode_outer(tokens).alias("_pos", "word"))
-    found = scale.lookup_join(words, lemmas.select("word", "lemma"), ["word"], [doc, "_pos"], "left")
+    found = words.join(lemmas.select("word", "lemma"), "word", "left")
     entry = F.when(
         F.col("word").isNotNull(), F.struct("_pos", F.coalesce("lemma", "word").alias("token"))
     )

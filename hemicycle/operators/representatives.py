@@ -9,7 +9,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import scale
 from ..functions.vectors import cosine, to_vector
 from .explore import drop_clusters, top_per_group, wide_by_rank
 
@@ -22,7 +21,7 @@ def centroids(df: DataFrame, cluster: str, vector: str, out: str = "centroid") -
 
 def similarity_to_centroid(df: DataFrame, cluster: str, vector: str, row_id: str) -> DataFrame:
     """Add the cosine similarity of each row to the mean of its cluster."""
-    joined = scale.lookup_join(df, centroids(df, cluster, vector), [cluster], [row_id], max_rows=10_000)
+    joined = df.join(centroids(df, cluster, vector), cluster)
     scored = cosine(F.col(vector).cast("array<double>"), F.col("centroid"))
     return joined.withColumn("similarity", scored).drop("centroid")
 
@@ -84,4 +83,4 @@ def centroid_similarity(df: DataFrame, cluster: str, vector: str) -> DataFrame:
 
 def named_clusters(df: DataFrame, names: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Add the display name of each cluster; unnamed clusters get null."""
-    return scale.lookup_join(df, names, [cluster], [c for c in df.columns], "left")
+    return df.join(names, cluster, "left")

@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import scale
 
 YEAR, WEEK = 365.25, 7.0
 
@@ -134,7 +133,7 @@ def _season(weights: str, days: Column, period: float) -> Column:
 
 def components(model: DataFrame, days: DataFrame) -> DataFrame:
     """``(cluster, ds, trend, weekly, yearly, yhat)`` for the given days."""
-    joined = scale.lookup_join(days, model, ["cluster"], ["ds"], max_rows=10_000)
+    joined = days.join(model, "cluster")
     day = F.date_diff("ds", F.lit("1970-01-01").cast("date"))
     t = F.date_diff("ds", "start") / F.col("span")
     bends = F.zip_with("knots", "bends", lambda k, d: d * F.greatest(t - k, F.lit(0.0)))

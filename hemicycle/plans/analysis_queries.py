@@ -105,12 +105,12 @@ _PIVOT = ", ".join(f"count_if(cluster = {c})::BIGINT AS cluster_{c}" for c in LA
 
 @query("WITH" + Q.FULL + f"SELECT len(words)::INT AS num_words, {_PIVOT} FROM full_table GROUP BY ALL")
 def length_pivot(spark, d):
-    return explore.count_pivot(_lengths(spark, d), "num_words", "cluster", LABELS)
+    return explore.count_pivot(_lengths(spark, d), "num_words", "cluster")
 
 
 @query("WITH" + Q.FULL + f"SELECT year(date)::INT AS year, {_PIVOT} FROM full_table GROUP BY ALL")
 def year_pivot(spark, d):
-    return explore.count_pivot(_lengths(spark, d), "year", "cluster", LABELS)
+    return explore.count_pivot(_lengths(spark, d), "year", "cluster")
 
 
 @query(

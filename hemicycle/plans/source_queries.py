@@ -90,7 +90,7 @@ _ROW = r"(<li><a href=\"[^\"]*\">[^<]*</a></li>)"
 _FIELDS = {"raw_id": r">([^<]+)</a>", "date": r"href=\"/([^\"]+)\""}
 
 _LISTING_SQL = r"""
-WITH found AS (
+WITH RECURSIVE found AS (
   SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') AS rows FROM pages
 ),
 listing AS (
@@ -102,10 +102,17 @@ valid AS (
   SELECT *, CASE WHEN page_id % 2 = 0 THEN 'Cámara de Representantes' ELSE 'Senado' END AS chamber
   FROM listing WHERE raw_id <> '' AND date <> ''
 ),
-named AS (
-  SELECT *, 'gaceta_' || raw_id || CASE WHEN nth > 0 THEN ' (' || nth || ')' ELSE '' END AS session_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY page_id, raw_id ORDER BY pos) - 1 AS nth FROM valid)
-)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM valid),
+fold(page_id, k, session_id, used) AS (
+  SELECT page_id, k, 'gaceta_' || raw_id, ['gaceta_' || raw_id] FROM ranked WHERE k = 1
+  UNION ALL
+  SELECT page_id, k, session_id, list_append(used, session_id) FROM (
+    SELECT r.page_id, r.k, f.used, CASE WHEN NOT list_contains(f.used, 'gaceta_' || raw_id) THEN 'gaceta_' || raw_id
+      ELSE list_filter(list_transform(range(1, len(f.used) + 2), lambda n: 'gaceta_' || raw_id || ' (' || n || ')'),
+        lambda x: NOT list_contains(f.used, x))[1] END AS session_id
+    FROM fold f JOIN ranked r ON r.page_id = f.page_id AND r.k = f.k + 1)
+),
+named AS (SELECT r.* EXCLUDE (k), f.session_id FROM ranked r JOIN fold f USING (page_id, k))
 """
 
 
@@ -162,10 +169,9 @@ FROM (SELECT source, unnest({_SENTENCES}) AS s FROM documents) GROUP BY source
 def explode_interventions(spark, d):
     """One row per sentence with a stable id, summed up per session."""
     documents = table(spark, d, "documents").select("doc_id", "source", N.sentences(F.col("text")).alias("interventions"))
-    exploded = interventions.explode_interventions(documents, session="doc_id")
+    exploded = interventions.explode_interventions(documents, session="doc_id", keep=["source"])
     return (
-        exploded.join(documents.select(F.col("doc_id").alias("session"), "source"), "session")
-        .groupBy(F.col("source").alias("session"))
+        exploded.groupBy(F.col("source").alias("session"))
         .agg(
             F.count(F.lit(1)).alias("interventions"),
             F.countDistinct("int_id").alias("distinct_ids"),

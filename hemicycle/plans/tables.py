@@ -11,16 +11,9 @@ from ..operators import assembly, keywords
 from ..sources.readers import read_table
 
 
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Text that arrives in fewer splits than there are cores is spread evenly."""
-    df = read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """A given table."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def digest(tokens: Column) -> Column:

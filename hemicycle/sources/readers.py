@@ -8,22 +8,26 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 
-MAX_CHARS = 8_192_000
 
+def read_session_csv(
+    spark: SparkSession, path: str, schema: StructType | str = schemas.SESSION_TEXT, max_chars: int = -1
+) -> DataFrame:
+    """Session file with a fixed schema; quoted values may span lines.
 
-def read_session_csv(spark: SparkSession, path: str, schema: StructType | str = schemas.SESSION_TEXT) -> DataFrame:
-    """Session file with a fixed schema; quoted values may span lines."""
+    Such a file is one task however long it is: convert it to Parquet once. ``max_chars``
+    limits a value; -1 does not.
+    """
     return (
         spark.read.schema(schema)
-        .options(header=True, escape='"', multiLine=True, maxCharsPerColumn=MAX_CHARS)
+        .options(header=True, escape='"', multiLine=True, maxCharsPerColumn=max_chars)
         .csv(path)
     )
 
 
-def read_text_csv(spark: SparkSession, path: str, index_col: bool = False) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, index_col: bool = False, max_chars: int = -1) -> DataFrame:
     """CSV with a header and every column text; optionally without its index column."""
     df = spark.read.options(
-        header=True, escape='"', multiLine=True, inferSchema=False, maxCharsPerColumn=MAX_CHARS
+        header=True, escape='"', multiLine=True, inferSchema=False, maxCharsPerColumn=max_chars
     ).csv(path)
     return df.drop(df.columns[0]) if index_col else df
 

@@ -20,7 +20,7 @@ def test_rows_without_a_field_are_skipped(spark):
 def test_repeated_ids_get_a_number(spark):
     df = spark.createDataFrame([(1, i, "7", "d", "c") for i in range(3)] + [(1, 3, "7 (1)", "d", "c")], ROWS)
     ids = [r["session_id"] for r in listing.unique_ids(df, "page", "pos", "raw_id").orderBy("pos").collect()]
-    assert ids == ["gaceta_7", "gaceta_7 (1)", "gaceta_7 (2)", "gaceta_7 (1)"]
+    assert ids == ["gaceta_7", "gaceta_7 (1)", "gaceta_7 (2)", "gaceta_7 (1) (1)"]
 
 
 def test_later_page_wins(spark):
