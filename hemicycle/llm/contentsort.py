@@ -11,7 +11,7 @@ from .common import text_of, whole_rows, without_space
 #: Leading characters of a text that take part in the choice of splitters.
 PREFIX = 64
 #: Rows of one text that a task sorts; a text with more copies is dealt to several tasks.
-RUN_ROWS = 10_000
+RUN_ROWS = 1_000
 #: Most texts that can be dealt to several tasks; ``RUN_ROWS`` rises with the table to keep to it.
 MAX_SPLIT = 100_000
 
