@@ -99,6 +99,68 @@ def svd_scores(spark, d):
     return scored.select("vec_id", F.round(norm(F.col("svd")) * norm(F.col("svd")), 6).alias("squared_norm"))
 
 
+def _axes(scores, vector, k):
+    """Number of score columns, spread of their squares, worst pair of columns, and whether they fall."""
+    products = L.gram_rows(scores, vector).filter(F.col("i") < k)
+    square = F.get("row", F.col("i"))
+    others = F.transform("row", lambda x, j: F.when((j != F.col("i")) & (j < k), F.abs(x)).otherwise(0.0))
+    found = products.select("i", square.alias("square"), F.array_max(others).alias("pair"))
+    falling = F.transform(F.sort_array(F.collect_list(F.struct("i", "square"))), lambda e: e["square"])
+    steps = F.transform(falling, lambda x, j: F.coalesce(F.get(falling, j + 1) <= x * (1 + 1e-9), F.lit(True)))
+    return found.agg(
+        F.count("i").cast("int").alias("columns"),
+        F.round(F.sum(F.col("square") * F.col("square")) / F.pow(F.sum("square"), F.lit(2)), 6).alias("spread"),
+        F.round(F.max("pair") / F.max("square"), 6).alias("worst_pair"),
+        F.forall(steps, lambda ok: ok).alias("falling"),
+    )
+
+
+_AXES = """
+SELECT count_if(i = j)::INT AS columns, round(sum(c * c) / (sum(CASE WHEN i = j THEN c ELSE 0 END) ^ 2), 6) AS spread,
+       0.0::DOUBLE AS worst_pair, TRUE AS falling
+FROM products
+"""
+
+
+@query(
+    "WITH"
+    + Q.COORDS
+    + """,
+means AS (SELECT i, avg(x) AS m FROM coords GROUP BY i),
+centred AS (SELECT vec_id, i, x - m AS x FROM coords JOIN means USING (i)),
+products AS (
+  SELECT a.i, b.i AS j, sum(a.x * b.x) AS c FROM centred a JOIN centred b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
+)"""
+    + _AXES
+)
+def pca_axes(spark, d):
+    """PCA scores are uncorrelated, fall in variance, and keep the squared norm of the covariance.
+
+    Only the right rotation does: any other leaves pairs of columns that vary together.
+    """
+    df = _featured(spark, d)
+    k = _dimension(df)
+    model, centred = L.fit_pca(df, "features", k)
+    scores = L.pca_project(model, centred, k).select(vector_to_array("pca_features").alias("scores"))
+    return _axes(scores, "scores", k)
+
+
+@query(
+    "WITH"
+    + Q.COORDS
+    + """,
+products AS (
+  SELECT a.i, b.i AS j, sum(a.x * b.x) AS c FROM coords a JOIN coords b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
+)"""
+    + _AXES
+)
+def svd_axes(spark, d):
+    """SVD scores are orthogonal, fall in length, and keep the squared norm of the Gram matrix."""
+    df = vectors(spark, d)
+    k = _dimension(df)
+    return _axes(L.svd_scores(df, "vector", L.fit_svd(df, "vector", k)), "svd", k)
+
+
 @query(
     """
 SELECT i::INT AS component, 1.0::DOUBLE AS squared_length
@@ -199,7 +261,11 @@ def cluster_sweep(spark, d):
     reduced = L.pca_project(model, centred, 10)
     svd = L.fit_svd(reduced, "vector", 10)
     scored = L.svd_scores(reduced, "vector", svd).withColumn("svd_features", to_vector(F.col("svd")))
-    return C.sweep(scored, ["pca_features", "svd_features"], [3, 5])
+    counts = [3, 4, 5, 6, 7, 10]
+    # A mixture has a covariance matrix per component, too many numbers for the raw width.
+    raw = C.sweep(scored, ["features"], counts, ["kmeans"])
+    both = raw.unionByName(C.sweep(scored, ["pca_features", "svd_features"], counts))
+    return both.orderBy(F.desc("silhouette"), "algorithm", "features", "k")
 
 
 @query()
