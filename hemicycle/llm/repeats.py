@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .anchors import CHUNK, Kind, by_document, candidates, collapsed, keyed, same_document, units
+from .anchors import Kind, by_document, candidates, collapsed, keyed, same_document, units
 from .intervals import repeated_starts
 
 #: A window of 35 words, found by its 9-word anchor; names double from 9 to 18 to 35 words.
@@ -200,15 +199,11 @@ def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _split_words(data: bytes) -> list[bytes]:
-    return data.split()
-
-
 def _rest_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, gone, kept = [], [], []
         for r in batch.to_pylist():
-            words = _split_words(r["text"])
+            words = r["text"].split()
             out = covered(len(words), r["spans"], WORDS.length)
             counts.append(len(words))
             gone.append(int(out.sum()))
@@ -240,7 +235,7 @@ def remove_repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     A word goes if a window of 35 words that covers it also starts anywhere else, in the
     same document or another; windows are judged on the input. A null text has no words; repeated rows are
-    documents of their own, so their windows are repeated; ids may be null; an empty table
+    documents of their own, so their windows are repeated; ids are whole numbers or null; an empty table
     gives an empty result; other columns are not read.
     """
     texts = keyed(docs, doc_id, text)
@@ -254,7 +249,7 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     A byte goes if a string of 400 bytes that covers it also starts anywhere else, in the
     same document or another; strings are judged on the input and may end inside a character. A null text has
-    no bytes; repeated rows are documents of their own; ids may be null; an empty table
+    no bytes; repeated rows are documents of their own; ids are whole numbers or null; an empty table
     gives an empty result; other columns are not read.
     """
     texts = keyed(docs, doc_id, text)
