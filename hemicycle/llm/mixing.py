@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -17,6 +17,8 @@ ALL = -1
 ROUNDS, HALVINGS = 5, 6
 #: Slices of a source's permutation; each is ordered by itself.
 SLICES = 1 << 14
+#: Bits of a slice's number within its stretch of neighbouring slices; stretches are summed up first.
+STRETCH_BITS = 7
 HASH_BITS = 60
 
 
@@ -107,20 +109,31 @@ def source_plan(sources: DataFrame, mix: Mix) -> DataFrame:
     return plan.withColumn("rest", F.when(full, F.expr("target - epochs * tokens")).otherwise(0))
 
 
+def _ahead(sums: str, group: list[str], order: str) -> Column:
+    """Sum of a column over the rows of the group before this one."""
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(sums).over(before), F.lit(0))
+
+
 def _drawn(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     """``rows`` (``doc_id, source, ticket, tokens``) with ``begin, until`` and their plan; the plan.
 
-    A source's permutation is the order of ``ticket``. Tokens are summed per slice of it,
-    slices are summed up, and only then rows within a slice: no task sees a whole source.
+    A source's permutation is the order of ``ticket``. Tokens are summed per slice of it and
+    per stretch of slices; stretches are summed up, then the slices of a stretch, and only
+    then the rows of a slice: no task sees a whole source, nor all its slices.
     ``begin`` counts the tokens ahead of a row, ``until`` those up to the end of its ticket.
     """
     rows = rows.withColumn("slice", F.shiftright("ticket", HASH_BITS - SLICES.bit_length() + 1))
     slices = stored(rows.groupBy("source", "slice").agg(F.sum("tokens").alias("in_slice")), "mix-slices")
     sources = stored(slices.groupBy("source").agg(F.sum("in_slice").alias("tokens")), "mix-sources")
     plan = stored(source_plan(sources, mix), "mix-plan")
-    before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("stretch", F.shiftright("slice", STRETCH_BITS))
+    stretches = slices.groupBy("source", "stretch").agg(F.sum("in_slice").alias("in_stretch"))
+    stretches = stretches.select(F.col("source").alias("of"), F.col("stretch").alias("far"),
+                                 _ahead("in_stretch", ["source"], "stretch").alias("ahead"))
+    slices = slices.join(stretches, F.col("source").eqNullSafe(F.col("of")) & (F.col("stretch") == F.col("far")))
     slices = slices.select(F.col("source").alias("of"), F.col("slice").alias("at"),
-                           F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("ahead"))
+                           (F.col("ahead") + _ahead("in_slice", ["source", "stretch"], "slice")).alias("ahead"))
     rows = rows.join(slices, F.col("source").eqNullSafe(F.col("of")) & (F.col("slice") == F.col("at")))
     inside = Window.partitionBy("of", "at")
     tickets = inside.orderBy("ticket").rangeBetween(Window.unboundedPreceding, Window.currentRow)
