@@ -126,3 +126,17 @@ def test_patterns_match_enumeration(spark):
     assert rules["c", "b"] == 1.0 and rules["a", "b"] == pytest.approx(2 / 3)
     predicted = {tuple(r["items"]): r["prediction"] for r in P.predicted_items(models, df).collect()}
     assert predicted["a",] == ["b"] and predicted["a", "b"] == ["c"]
+
+
+def test_rules_are_matched_by_all_their_words(spark):
+    rules = [(1, ["a", "b"], ["c"]), (1, ["b"], ["d"]), (1, ["d", "e", "f"], ["a"]), (2, ["a"], ["z"])]
+    rows = [(1, 1, ["b", "a"]), (2, 1, ["b", "a"]), (3, 1, ["a"]), (4, 1, ["f", "e", "d", "x"]), (5, 1, ["b", "c", "d", "a"]),
+            (6, 2, ["a", "b"]), (7, 3, ["a"]), (8, 1, None), (9, 1, []), (10, None, ["a"])]
+    rules = spark.createDataFrame(rules, "cluster int, antecedent array<string>, consequent array<string>")
+    df = spark.createDataFrame(rows, "id int, cluster int, items array<string>")
+    found = P.matched_rules(rules, df)
+    assert found.columns == ["id", "cluster", "items", "prediction"]
+    assert {r["id"]: r["prediction"] for r in found.collect()} == {
+        1: ["c", "d"], 2: ["c", "d"], 3: [], 4: ["a"], 5: [], 6: ["z"], 7: [], 8: [], 9: [], 10: []
+    }
+    assert "UDF" not in found._jdf.queryExecution().toString()
