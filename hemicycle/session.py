@@ -58,12 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, keeping a folder that is already set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def side_by_side(actions: Sequence[Callable[[], T]], threads: int = 4) -> list[T]:
     """Results of independent Spark actions, a few submitted at a time."""
     inherit = inheritable_thread_target(SparkSession.active())
