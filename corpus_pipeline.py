@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hemicycle.llm import contentsort, hostrules, mixing, packing, similar
+from hemicycle.llm import contentsort, fingerprints, hostrules, mixing, packing
 from hemicycle.llm.common import documents
 from hemicycle.session import stored
 
@@ -28,8 +28,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: shingles of five words, similarity 0.8 or more."""
-    return similar.drop_similar(docs)
+    """One document of each group whose fingerprints of three-word shingles link at two bits or fewer."""
+    return fingerprints.drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
