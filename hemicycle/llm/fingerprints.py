@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -119,14 +118,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     table gives an empty result. Other columns are not read.
     """
     rows = stored(docs.select(docs[doc_id].alias("doc_id"), fingerprint(text_of(text)).alias("print")), "prints")
-    return _with_components(rows, links).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+    return _with_components(rows).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
                                          "component_id")
 
 
-def _with_components(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``rows`` (``doc_id, print``) with ``component_id``; ``link`` gives the edges between prints."""
+def _with_components(rows: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id, print``) with ``component_id``."""
     prints = stored(rows.groupBy("print").agg(F.min("doc_id").alias("least_id")), "distinct-prints")
-    roots = components(link(prints.select("print")))
+    roots = components(links(prints.select("print")))
     classes = prints.join(roots, F.col("print") == F.col("node"), "left")
     classes = classes.select("print", "least_id", F.coalesce("root", "print").alias("class"))
     least = classes.groupBy("class").agg(F.min("least_id").alias("component_id"))
@@ -138,18 +137,12 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """The rows of ``docs`` with all their columns, one of each component: that with the smallest id.
 
     Of rows that repeat this id one stays, the one with the smallest hash of its text.
+    Null ids, empty texts and ties as in :func:`near_duplicates`; a component without any id
+    keeps one row per fingerprint.
     """
     content = F.xxhash64(text_of(text))
     rows = docs.select(docs[doc_id].alias("doc_id"), content.alias("content"), fingerprint(text_of(text)).alias("print"))
-    return one_of_each(docs, stored(rows, "prints"), links, doc_id, text)
-
-
-def one_of_each(
-    docs: DataFrame, rows: DataFrame, link: Callable[[DataFrame], DataFrame], doc_id: str, text: str
-) -> DataFrame:
-    """The rows of ``docs`` that stay; ``rows`` has ``doc_id, content, print`` of each, ``link`` edges between prints."""
-    content = F.xxhash64(text_of(text))
-    named = _with_components(rows, link)
+    named = _with_components(stored(rows, "prints"))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "content")
     stay = named.groupBy("component_id", F.col("component_id").isNull().alias("_nameless"),
                          F.when(F.col("component_id").isNull(), F.col("print")).alias("_print"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .vocabulary import encoder, shipped
+from .vocabulary import ADDED, encoder, shipped
 
 #: Sequence length, open windows of a task, and the smallest part worth cutting off a piece.
 SIZE, OPEN, LEAST_CUT = 2048, 64, 32
@@ -160,7 +160,8 @@ def pack(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
     are not shuffled. So one sequence per ``MERGE_TASKS`` tasks has a gap of any size, all
     others one below ``LEAST_CUT``.
 
-    ``vocabulary`` is the path of a rank file. A null or empty text is the last id alone;
+    ``vocabulary`` is the path of a rank file; the strings of ``ADDED`` in a text are their own
+    tokens. A null or empty text is the last id alone;
     rows that repeat an id are documents of their own; null ids stay null; an empty table
     gives an empty result; other columns are not read. ``ids`` (little-endian, four bytes each) is null
     unless ``with_ids``.
@@ -172,7 +173,7 @@ def pack(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
     ranks = shipped(docs.sparkSession, vocabulary)
 
     def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks.value)
+        encode = encoder(ranks.value, ADDED)
 
         def pieces() -> Iterator[Piece]:
             for batch in batches:

@@ -29,7 +29,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id",
     A file is what one task has read: ids of all its documents, each followed by the
     separator, in blocks of ``BLOCK`` ids that take no notice of documents. Rows are
     ``file, block, ids``, or, for the list of documents in order, ``file, first, names``.
-    The ids are below 65,536, so two bytes hold one.
+    The ids are below 65,536, so two bytes hold one. The string of the separator in a text is
+    ordinary text here, so a separator is always the end of a document.
     """
     ranks = shipped(docs.sparkSession, vocabulary)
     arrow = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("ids", pa.binary()), ("first", pa.int64()),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import tiktoken
@@ -13,6 +14,8 @@ from pyspark.sql import SparkSession
 #: The pattern that cuts a text before byte pairs are merged, and the free id after the last token.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_OF_DOCUMENT = 50256
+#: Fixed value: the added token of the same vocabulary under ``tokenizers``.
+ADDED = {"<|endoftext|>": 50256}
 
 
 def shipped(spark: SparkSession, path: str) -> Broadcast:
@@ -21,12 +24,26 @@ def shipped(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encoder(vocabulary: bytes) -> Callable[[str | None], np.ndarray]:
-    """Function from a text to its ids; special strings in it are ordinary text, null is empty.
+def encoder(vocabulary: bytes, added: Mapping[str, int] | None = None) -> Callable[[str | None], np.ndarray]:
+    """Function from a text to its ids; null is empty.
 
-    The ids are those of the same vocabulary under ``tokenizers`` without special tokens,
-    at a quarter of the time.
+    Strings of ``added`` are cut out first and get their own ids, as ``tokenizers`` does with
+    the added tokens of its files; without ``added`` they are ordinary text. All other ids are
+    those of the same vocabulary under ``tokenizers``, at a quarter of the time.
     """
     ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in vocabulary.splitlines() if line)}
     encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: np.array(encoding.encode_ordinary(text or ""), dtype=np.uint32)
+    if not added:
+        return lambda text: np.array(encoding.encode_ordinary(text or ""), dtype=np.uint32)
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+    def encode(text: str | None) -> np.ndarray:
+        ids: list[int] = []
+        for part in cut.split(text or ""):
+            if part in added:
+                ids.append(added[part])
+            else:
+                ids += encoding.encode_ordinary(part)
+        return np.array(ids, dtype=np.uint32)
+
+    return encode

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from hemicycle.llm import components, fingerprints, packing, tokencounts
 
-from .conftest import ODD
+from .conftest import ODD, make
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SF = "/root/testdata/sf0.001/documents.parquet"
@@ -93,9 +93,9 @@ def test_one_document_of_each_component_stays(spark, clashing, nothing):
     assert fingerprints.near_duplicates(nothing).count() == 0
 
 
-def ids_of(texts):
+def ids_of(texts, special_as_text=True):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -178,3 +178,18 @@ def test_flat_files_are_read_in_blocks(spark, tmp_path):
     blocks = tokencounts.read_token_files(spark, str(tmp_path), block=64)
     got = tokencounts.separator_scan(blocks).orderBy("position").select("n_tokens", "closed").collect()
     assert [tuple(r) for r in got] == [(0, True), (9, True), (489, True), (498, True)]
+
+
+STRANGE = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", " <|endoftext|>\n", "<|endoftext", "<|ENDOFTEXT|>",
+           "\u00a0\u2003x  y\t\tz \r\n", "\U0001f600\U0001f468\u200d\U0001f469 e\u0301 \u0000 \ufeff", "", None,
+           "'s 'S it'll 12345 \u0661\u0662"]
+
+
+def test_packed_ids_are_those_of_the_vocabulary_file(spark):
+    """Added tokens, odd white space and emoji: the ids that ``tokenizers`` gives with the file as it is."""
+    rows = make(spark, [(k, t, "a") for k, t in enumerate(STRANGE)])
+    got = packing.pack(rows, RANKS, size=64, with_ids=True).collect()
+    for k, ids in enumerate(ids_of(STRANGE, special_as_text=False)):
+        pieces = sorted((r.start, np.frombuffer(r.ids, dtype="<u4").tolist()) for r in got if r.doc_id == k)
+        assert [i for _, p in pieces for i in p] == [*ids, 1]
+    assert 50256 in ids_of(STRANGE[:1], special_as_text=False)[0]
