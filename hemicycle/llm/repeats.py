@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -15,15 +15,17 @@ from .intervals import repeated_starts
 
 #: A window of 35 words, found by its 9-word anchor; names double from 9 to 18 to 35 words.
 WORDS = Kind(by_word=True, length=35, gram=9)
-#: A string of 400 bytes, found by its 64-byte anchor.
-BYTES = Kind(by_word=False, length=400, gram=64)
+#: Words of the level between anchor and window.
+LEVEL = 18
+#: A string of 400 bytes, found by its 200-byte anchor.
+BYTES = Kind(by_word=False, length=400, gram=200)
 #: Bytes of spans over which one suffix array is built; an anchor with more is settled by names of windows.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 19
 
-_NAMES = "left long, right long, doc_id long, text_hash long, start int, n long, done boolean"
-_NAMES_ARROW = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
-                          ("start", pa.int32()), ("n", pa.int64()), ("done", pa.bool_())])
-_SEGMENTS = "anchor long, doc_id long, text_hash long, start int, data binary"
+_FOUND = "left long, right long, doc_id long, text_hash long, start int, more int, n long, done boolean"
+_FOUND_ARROW = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
+                          ("start", pa.int32()), ("more", pa.int32()), ("n", pa.int64()), ("done", pa.bool_())])
+_SEGMENTS = "anchor long, doc_id long, text_hash long, start int, hot boolean, data binary"
 
 
 def _joined(texts: DataFrame, spans: DataFrame, how: str, *columns: str) -> DataFrame:
@@ -32,16 +34,15 @@ def _joined(texts: DataFrame, spans: DataFrame, how: str, *columns: str) -> Data
     return both.select("doc_id", "text_hash", "text", "spans")
 
 
-def _starts(spans: list[dict]) -> np.ndarray:
-    """All window starts of spans of one document."""
+def _starts(spans: list[dict], further: int = 0) -> np.ndarray:
+    """All starts that spans of one document hold, in order, each once; ``further`` ones behind each span."""
     start = np.array([s["start"] for s in spans], dtype=np.int64)
-    more = np.array([s["more"] for s in spans], dtype=np.int64)
-    n = more + 1
-    return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    n = np.array([s["more"] for s in spans], dtype=np.int64) + 1 + further
+    return np.unique(np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
 
-def window_names(data: bytes, starts: np.ndarray, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
-    """Names of windows by doubling: the name of a run is the pair of names of two runs of half
+def window_names(data: bytes, starts: np.ndarray, length: int, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
+    """Names of windows of ``length`` by doubling: the name of a run is the pair of names of two runs of half
     its length that cover it; of the last pair both members are given."""
     hashes, _ = units([data], kind)
 
@@ -52,8 +53,8 @@ def window_names(data: bytes, starts: np.ndarray, kind: Kind) -> tuple[np.ndarra
         left, right = name(start, half), name(start + length - half, half)
         return (left * np.uint64(0xD6E8FEB86659FD93)) ^ (right + (left >> np.uint64(29)))
 
-    half = (kind.length + 1) // 2
-    return name(starts, half), name(starts + kind.length - half, half)
+    half = (length + 1) // 2
+    return name(starts, half), name(starts + length - half, half)
 
 
 def _name_batch(ids: list, hashes: list, starts: list[np.ndarray], names: list[tuple]) -> pa.RecordBatch:
@@ -66,110 +67,143 @@ def _name_batch(ids: list, hashes: list, starts: list[np.ndarray], names: list[t
     flat = np.concatenate(starts) if starts else np.empty(0, np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(ids, pa.int64()).take(rows),
-         pa.array(hashes, pa.int64()).take(rows), pa.array(flat.astype(np.int32)), pa.array(n), pa.array(later)],
-        schema=_NAMES_ARROW,
+         pa.array(hashes, pa.int64()).take(rows), pa.array(flat.astype(np.int32)), pa.array(np.zeros(len(flat), np.int32)),
+         pa.array(n), pa.array(later)],
+        schema=_FOUND_ARROW,
     )
 
 
-def _namer(kind: Kind) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            starts = [_starts(r["spans"]) for r in rows]
-            names = [window_names(r["text"], s, kind) for r, s in zip(rows, starts, strict=True)]
-            yield _name_batch([r["doc_id"] for r in rows], [r["text_hash"] for r in rows], starts, names)
+def _repeated_names(named: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, start, more, left, right`` of what is done or has a name that occurs twice or more.
 
-    return name
+    Names are counted first, so a name of any frequency sends one row per task, and the rows
+    are joined with the counts, where Spark splits frequent names.
+    """
+    often = named.where("not done").groupBy("left", "right").agg(F.sum("n").alias("all")).where("all > 1")
+    met = named.where("not done").join(often.drop("all"), ["left", "right"], "left_semi")
+    columns = ["doc_id", "text_hash", "start", "more", "left", "right"]
+    return named.where("done").select(columns).unionByName(met.select(columns))
 
 
-def _repeated_names(named: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, start, more`` of the windows whose name occurs twice or more."""
-    same = Window.partitionBy("left", "right")
-    met = named.where("not done").withColumn("all", F.sum("n").over(same)).where("all > 1")
-    place = ["doc_id", "text_hash", "start"]
-    both = named.where("done").select(place).unionByName(met.select(place))
-    return both.withColumn("more", F.lit(0))
+def _level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names of the ``LEVEL``-word windows inside the spans of each document."""
+    for batch in batches:
+        starts, names = [], []
+        for text, spans in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
+            starts.append(_starts(spans, WORDS.length - LEVEL))
+            names.append(window_names(text.as_py(), starts[-1], LEVEL, WORDS))
+        yield _name_batch(batch.column(0).to_pylist(), batch.column(1).to_pylist(), starts, names)
 
 
 def repeated_words(texts: DataFrame) -> DataFrame:
     """Starts of repeated 35-word windows of ``keyed`` texts: ``doc_id, text_hash, start, more``.
 
     Level one: 9-word windows, as anchors; only those that occur again go on. Equal spans
-    of 35-word windows over them are settled as a whole. Windows of the other spans get
-    names of 18 and of 35 words, each a pair of names of half the length, and the last
-    names are counted.
+    of 35-word windows over them are settled as a whole. Level two: the 18-word windows in
+    the other spans are named and counted, and those that occur once go. Level three: two
+    windows that are left, 17 words apart in one document, make a window of 35 words, named
+    by the pair of their names; texts are not read again. Those that occur again are returned.
     """
     settled, open_ = candidates(texts, WORDS, "words")
-    both = _joined(texts, open_, "inner", "start", "more")
-    named = stored(both.mapInArrow(_namer(WORDS), _NAMES), "window-names")
-    return settled.unionByName(_repeated_names(named))
+    names = stored(_joined(texts, open_, "inner", "start", "more").mapInArrow(_level, _FOUND), "level-names")
+    left = _repeated_names(names).select("doc_id", "text_hash", "start", F.xxhash64("left", "right").alias("left"))
+    left = stored(left, "level-left")
+    right = left.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("left").alias("right"),
+                        (F.col("start") - (WORDS.length - LEVEL)).alias("of_start"))
+    pairs = left.join(right, same_document() & (F.col("start") == F.col("of_start")))
+    pairs = pairs.select("doc_id", "text_hash", "start", F.lit(0).alias("more"), "left", "right", F.lit(1).cast("long").alias("n"),
+                         F.lit(False).alias("done"))
+    place = ["doc_id", "text_hash", "start", "more"]
+    return settled.unionByName(_repeated_names(pairs).select(place))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the spans of each document that an array can hold."""
     for batch in batches:
-        out = [[], [], [], [], []]
-        for r in batch.to_pylist():
-            for s in r["spans"]:
-                data = r["text"][s["start"] : s["start"] + s["more"] + BYTES.length]
-                for column, value in zip(out, (s["anchor"], r["doc_id"], r["text_hash"], s["start"], data), strict=True):
+        out: list[list] = [[], [], [], [], [], []]
+        ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for doc_id, text_hash, text, spans in zip(ids, hashes, batch.column(2), batch.column(3).to_pylist(), strict=True):
+            data = text.as_py()
+            for s in spans:
+                row = (s["anchor"], doc_id, text_hash, s["start"], s["hot"], data[s["start"] : s["start"] + s["more"] + BYTES.length])
+                for column, value in zip(out, row, strict=True):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())],
-            names=["anchor", "doc_id", "text_hash", "start", "data"],
-        )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                                         names=["anchor", "doc_id", "text_hash", "start", "hot", "data"])
+
+
+def _searched(some: list[tuple]) -> pa.RecordBatch:
+    """Stretches of repeated starts among segments ``(doc_id, text_hash, start, data)``, by one suffix array."""
+    rows: list[list] = [[], []]
+    firsts, mores = [], []
+    for (doc_id, text_hash, start, _), found in zip(some, repeated_starts([s[3] for s in some], BYTES.length), strict=True):
+        if len(found):
+            cut = np.flatnonzero(np.diff(found) > 1) + 1
+            first = found[np.concatenate([[0], cut])]
+            firsts.append(first + start)
+            mores.append(found[np.concatenate([cut - 1, [len(found) - 1]])] - first)
+            rows[0] += [doc_id] * len(first)
+            rows[1] += [text_hash] * len(first)
+    n = len(rows[0])
+    first, more = (np.concatenate(x).astype(np.int32) if x else np.empty(0, np.int32) for x in (firsts, mores))
+    zero = pa.array(np.zeros(n, np.int64))
+    return pa.RecordBatch.from_arrays([zero, zero, pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(first),
+                                       pa.array(more), zero, pa.array(np.ones(n, bool))], schema=_FOUND_ARROW)
+
+
+def _named(some: list[tuple]) -> pa.RecordBatch:
+    """Named strings of segments."""
+    inside = [np.arange(len(s[3]) - BYTES.length + 1) for s in some]
+    names = [window_names(s[3], i, BYTES.length, BYTES) for s, i in zip(some, inside, strict=True)]
+    return _name_batch([s[0] for s in some], [s[1] for s in some], [i + s[2] for s, i in zip(some, inside, strict=True)], names)
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "text_hash", "start", "data")]
+        for anchor, *rest in zip(*columns, strict=True):
+            yield anchor, tuple(rest)
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated starts among segments that come in the order of their anchors.
+    """Repeated strings among segments that come in the order of their anchors.
 
     Whole anchors are gathered up to ``ARRAY_BYTES`` and searched with one suffix array.
     An anchor with more has its windows named instead, part by part.
     """
-
-    def searched(some: list[dict]) -> pa.RecordBatch:
-        found = repeated_starts([s["data"] for s in some], BYTES.length)
-        starts = [f + s["start"] for s, f in zip(some, found, strict=True)]
-        kept = [np.zeros(len(f), dtype=np.uint64) for f in found]
-        batch = _name_batch([s["doc_id"] for s in some], [s["text_hash"] for s in some], starts,
-                            [(k, k) for k in kept])
-        done = pa.array(np.ones(batch.num_rows, dtype=bool))
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], done], schema=_NAMES_ARROW)
-
-    def named(some: list[dict]) -> pa.RecordBatch:
-        inside = [np.arange(len(s["data"]) - BYTES.length + 1) for s in some]
-        names = [window_names(s["data"], i, BYTES) for s, i in zip(some, inside, strict=True)]
-        return _name_batch([s["doc_id"] for s in some], [s["text_hash"] for s in some],
-                           [i + s["start"] for s, i in zip(some, inside, strict=True)], names)
-
-    ready: list[dict] = []  # whole anchors
-    group: list[dict] = []  # segments of the anchor at hand
+    ready: list[tuple] = []  # whole anchors
+    group: list[tuple] = []  # segments of the anchor at hand
     ready_bytes = group_bytes = 0
+    of = None
     large = False  # part of the anchor at hand has been named
-    for batch in batches:
-        for s in batch.to_pylist():
-            if group and s["anchor"] != group[0]["anchor"]:
-                if large:
-                    yield named(group)
-                else:
-                    ready += group
-                    ready_bytes += group_bytes
-                    if ready_bytes >= ARRAY_BYTES:
-                        yield searched(ready)
-                        ready, ready_bytes = [], 0
-                group, group_bytes, large = [], 0, False
-            group.append(s)
-            group_bytes += len(s["data"])
-            if group_bytes >= 2 * ARRAY_BYTES:
-                yield named(group)
-                # The last one stays behind to tell the anchor; it has been named already.
-                group, group_bytes, large = [s | {"data": b""}], 0, True
+    for anchor, segment in _segments(batches):
+        if anchor != of:
+            if large:
+                yield _named(group)
+            else:
+                ready += group
+                ready_bytes += group_bytes
+                if ready_bytes >= ARRAY_BYTES:
+                    yield _searched(ready)
+                    ready, ready_bytes = [], 0
+            group, group_bytes, large, of = [], 0, False, anchor
+        group.append(segment)
+        group_bytes += len(segment[3])
+        if group_bytes >= 2 * ARRAY_BYTES:
+            yield _named(group)
+            group, group_bytes, large = [], 0, True
     if large:
-        yield named(group)
-    elif group:
+        yield _named(group)
+    else:
         ready += group
     if ready:
-        yield searched(ready)
+        yield _searched(ready)
+
+
+def _name_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _named([s for _, s in _segments([batch])])
 
 
 def repeated_bytes(texts: DataFrame) -> DataFrame:
@@ -177,15 +211,15 @@ def repeated_bytes(texts: DataFrame) -> DataFrame:
 
     Equal spans are settled as a whole. The different spans over one anchor meet in one
     task, where a suffix array, its Burrows-Wheeler transform and the expansion of
-    intervals up to 400 bytes tell which strings are repeated. Spans of hot anchors, which
+    intervals up to 400 bytes tell which strings are repeated; each stretch of them is one row. Spans of hot anchors, which
     may be in every document, do not meet: their strings are named and counted.
     """
     settled, open_ = candidates(texts, BYTES, "bytes")
-    cold = _joined(texts, open_.where("not hot"), "inner", "start", "more", "anchor").mapInArrow(_cut, _SEGMENTS)
-    cold = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_expand, _NAMES)
-    hot = _joined(texts, open_.where("hot"), "inner", "start", "more").mapInArrow(_namer(BYTES), _NAMES)
-    named = stored(cold.unionByName(hot), "string-names")
-    return settled.unionByName(_repeated_names(named))
+    cut = stored(_joined(texts, open_, "inner", "start", "more", "anchor", "hot").mapInArrow(_cut, _SEGMENTS), "segments")
+    cold = cut.where("not hot").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_expand, _FOUND)
+    found = stored(cold.unionByName(cut.where("hot").mapInArrow(_name_segments, _FOUND)), "found-strings")
+    place = ["doc_id", "text_hash", "start", "more"]
+    return settled.unionByName(_repeated_names(found).select(place))
 
 
 def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray:
