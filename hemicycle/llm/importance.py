@@ -25,12 +25,12 @@ BINS = 4096
 @dataclass(frozen=True)
 class Sampler:
     """``buckets`` of words and pairs of words, hashed; ``max_target`` labelled documents, chosen
-    by a hash of their id, fit the target model; ``scale`` turns the mean log ratio of an n-gram
-    into the log weight of a document."""
+    by a hash of their id, fit the target model. The log weight of a document is the log ratio
+    of the two models for it, the sum over its n-grams, divided by ``temperature``."""
 
     buckets: int = 10_000
     max_target: int = 20_000
-    scale: float = 512.0
+    temperature: float = 1.0
     seed: int = 11
 
 
@@ -81,7 +81,7 @@ def log_ratios(docs: DataFrame, target: DataFrame, sampler: Sampler, doc_id: str
 
 
 def scores(docs: DataFrame, ratios: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, n_grams, log_ratio`` (mean over the n-grams, zero without any)."""
+    """``doc_id, n_grams, log_ratio`` (sum over the n-grams, zero without any)."""
     texts = docs.select(docs[doc_id].alias("doc_id"), text_of(text).cast("binary").alias("data"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,8 +93,7 @@ def scores(docs: DataFrame, ratios: np.ndarray, doc_id: str, text: str) -> DataF
                 part = slice(first, first + len(some))
                 total[part] = np.bincount(of, weights=ratios[found], minlength=len(some))
                 n[part] = np.bincount(of, minlength=len(some))
-            mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(mean)],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total)],
                                              names=["doc_id", "n_grams", "log_ratio"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -133,7 +132,7 @@ def importance_sample(docs: DataFrame, target: DataFrame, share: float, sampler:
     """One row per document: ``doc_id, n_grams, log_ratio, score, kept``.
 
     ``target`` holds ids of documents of the wanted kind. A document's log weight is the
-    mean log ratio of its n-grams, scaled; with Gumbel noise added, the ``share`` of documents with the
+    log ratio of the target and the raw model for all its n-grams; with Gumbel noise added, the ``share`` of documents with the
     highest scores is a sample without replacement by weight. Scores are compared in steps
     of ``STEP``, then by a hash of the id, then as equals: rows that repeat an id and a
     text are kept or left together. A text without words has log ratio zero; null ids share
@@ -144,7 +143,7 @@ def importance_sample(docs: DataFrame, target: DataFrame, share: float, sampler:
     chosen = ids.orderBy(token_hash(f"{sampler.seed}:target", F.col("id")), "id").limit(sampler.max_target)
     ratios = log_ratios(docs, chosen, sampler, doc_id, text)
     rows = scores(docs, ratios, doc_id, text)
-    rows = rows.withColumn("score", F.col("log_ratio") * sampler.scale + gumbel(sampler.seed, F.col("doc_id")))
+    rows = rows.withColumn("score", F.col("log_ratio") / sampler.temperature + gumbel(sampler.seed, F.col("doc_id")))
     rows = rows.withColumn("_step", F.floor(F.col("score") / STEP).cast("long"))
     rows = stored(rows.withColumn("_tie", token_hash(sampler.seed, F.col("doc_id"))), "scores")
     n = rows.count()
