@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import scale
 from ..functions import text as X
 from ..session import stored
 
@@ -77,7 +78,7 @@ def pair_events(events: DataFrame, session: str, chunk: int = CHUNK) -> DataFram
         .select(*key, "_granted", "_base")
     )
     opened = F.col("_opens") + F.col("_asks") * F.col("_granted")
-    grouped = scanned.join(carried, key).withColumn(
+    grouped = scale.same_group(scanned, carried, key).withColumn(
         "pair", F.col("_base") + F.sum(opened).over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
     )
     parts = F.sort_array(F.collect_list(F.struct("pos", "kind", "part")))

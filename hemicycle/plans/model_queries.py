@@ -6,16 +6,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions import tokens as N
 from ..functions.vectors import norm, to_vector
+from ..operators import closed_sets as S
 from ..operators import clusters as C
 from ..operators import features as L
-from ..operators import patterns as P
 from ..operators import representatives as R
 from ..session import stored
 from . import sql as Q
 from .registry import query
-from .tables import table, vectors
+from .tables import labelled_keywords, table, vectors
 
 # --- dimension reduction -----------------------------------------------------
 
@@ -372,68 +371,68 @@ def cluster_names(spark, d):
 
 # --- patterns ----------------------------------------------------------------
 
-SUPPORT = 0.6
+SUPPORT, CONFIDENCE = 0.01, 0.1
 
-_LATTICE = (
-    rf"""
+_CLOSED = (
+    Q.LABELLED
+    + f""",
 baskets AS (
-  SELECT doc_id, lang AS cluster, list_distinct(list_filter(string_split_regex(lower(text), '\s'), lambda t:
-           t NOT IN ({Q.STOP}) AND regexp_full_match(t, '{K.VALID_WORD_PATTERN[1:-1]}'))) AS items
-  FROM documents
+  SELECT e.label AS cluster, d.doc_id, coalesce(items, []) AS items
+  FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id
+  LEFT JOIN (SELECT doc_id, list(DISTINCT word) AS items FROM labelled GROUP BY doc_id) USING (doc_id)
 ),
-sizes AS (SELECT cluster, count(*) AS n, ceil({SUPPORT} * count(*)) AS need FROM baskets GROUP BY cluster),
-singles AS (
-  SELECT cluster, item, list(doc_id) AS docs
-  FROM (SELECT cluster, doc_id, unnest(items) AS item FROM baskets) GROUP BY cluster, item
-),
-frequent AS (SELECT s.* FROM singles s JOIN sizes z USING (cluster) WHERE len(docs) >= need),
+numbers AS (SELECT cluster, count(*) AS n, greatest(1, ceil(round({SUPPORT} * count(*), 9))) AS need FROM baskets GROUP BY cluster),
 """
     + """
-lattice AS (
-  SELECT cluster, [item] AS items, item AS top, docs FROM frequent
-  UNION ALL
-  SELECT cluster, items, top, docs FROM (
-    SELECT l.cluster, list_append(l.items, f.item) AS items, f.item AS top, list_intersect(l.docs, f.docs) AS docs, z.need
-    FROM lattice l JOIN frequent f ON f.cluster = l.cluster AND f.item > l.top JOIN sizes z ON z.cluster = l.cluster)
+frequent AS (
+  SELECT cluster, item, docs FROM (
+    SELECT cluster, item, list_sort(list(doc_id)) AS docs
+    FROM (SELECT cluster, doc_id, unnest(items) AS item FROM baskets) GROUP BY cluster, item)
+  JOIN numbers USING (cluster) WHERE len(docs) >= need
+),
+reached AS (
+  SELECT cluster, docs FROM frequent
+  UNION
+  SELECT cluster, docs FROM (
+    SELECT r.cluster, list_sort(list_intersect(r.docs, f.docs)) AS docs, z.need
+    FROM reached r JOIN frequent f USING (cluster) JOIN numbers z USING (cluster))
   WHERE len(docs) >= need
 ),
-sets AS (SELECT cluster, items, len(items)::INT AS size, len(docs)::BIGINT AS freq FROM lattice),
+sets AS (
+  SELECT r.cluster, r.docs, list_sort(list(f.item)) AS items, len(r.docs)::BIGINT AS freq
+  FROM reached r JOIN frequent f ON f.cluster = r.cluster AND list_has_all(f.docs, r.docs) GROUP BY r.cluster, r.docs
+),
 rules AS (
-  SELECT a.cluster, a.items AS antecedent, x.consequent, s.freq / a.freq AS confidence,
-         (s.freq / a.freq) / (c.freq / z.n) AS lift, s.freq / z.n AS support
-  FROM (SELECT cluster, items, freq, unnest(items) AS consequent FROM sets WHERE size > 1) x
-  JOIN sets s ON s.cluster = x.cluster AND s.items = x.items
-  JOIN sets a ON a.cluster = x.cluster AND a.items = list_filter(x.items, lambda i: i <> x.consequent)
-  JOIN sets c ON c.cluster = x.cluster AND c.items = [x.consequent]
-  JOIN sizes z ON z.cluster = x.cluster
-  WHERE s.freq / a.freq >= 0.1
+  SELECT s.cluster, s.items AS antecedent, s.docs AS holders, f.item AS consequent,
+         len(list_intersect(s.docs, f.docs)) / s.freq AS confidence,
+         (len(list_intersect(s.docs, f.docs)) / s.freq) / (len(f.docs) / z.n) AS lift,
+         len(list_intersect(s.docs, f.docs)) / z.n AS support
+  FROM sets s JOIN frequent f USING (cluster) JOIN numbers z USING (cluster)
+  WHERE NOT list_contains(s.items, f.item) AND len(list_intersect(s.docs, f.docs)) >= z.need
+    AND len(list_intersect(s.docs, f.docs)) / s.freq >= """
+    + f"{CONFIDENCE}"
+    + """
 )
 """
 )
 
 
-def _baskets(spark, d):
-    documents = table(spark, d, "documents").select("doc_id", F.col("lang").alias("cluster"), "text")
-    baskets = N.baskets(documents, "text").select("doc_id", "items", "cluster")
-    return stored(baskets, "baskets", ("cluster",))
-
-
-def _models(spark, d):
-    baskets = _baskets(spark, d)
-    labels = [r[0] for r in baskets.select("cluster").distinct().orderBy("cluster").collect()]
-    return P.per_cluster(baskets, "cluster", labels, min_support=SUPPORT, min_confidence=0.1), baskets
+def _closed(spark, d):
+    """Closed sets of the keywords of a speech: fewer than a hundred words, so a basket is bounded."""
+    baskets = stored(labelled_keywords(spark, d), "baskets")
+    return S.closed_sets(baskets, "cluster", "doc_id", "keywords", SUPPORT)
 
 
-@query("WITH RECURSIVE" + _LATTICE + "SELECT cluster, array_to_string(items, ' ') AS items, size, freq FROM sets")
+@query("WITH RECURSIVE" + _CLOSED + "SELECT cluster, array_to_string(items, ' ') AS items, len(items)::INT AS size, freq FROM sets")
 def frequent_sets(spark, d):
-    models, _ = _models(spark, d)
-    sets = P.frequent_sets(models).withColumn("items", F.array_join("items", " "))
+    """Closed sets, which give the frequency of all others."""
+    sets = S.frequent_closed_sets(_closed(spark, d)).withColumn("items", F.array_join("items", " "))
     return sets.orderBy(F.desc("freq"), "cluster", "items")
 
 
 @query(
     "WITH RECURSIVE"
-    + _LATTICE
+    + _CLOSED
     + """
 SELECT cluster, array_to_string(antecedent, ' ') AS antecedent, consequent, round(confidence, 6) AS confidence,
        round(lift, 6) AS lift, round(support, 6) AS support
@@ -441,8 +440,7 @@ FROM rules
 """
 )
 def association_rules(spark, d):
-    models, _ = _models(spark, d)
-    return P.association_rules(models).select(
+    return S.closed_rules(_closed(spark, d), CONFIDENCE).select(
         "cluster",
         F.array_join("antecedent", " ").alias("antecedent"),
         F.array_join("consequent", " ").alias("consequent"),
@@ -452,15 +450,16 @@ def association_rules(spark, d):
 
 @query(
     "WITH RECURSIVE"
-    + _LATTICE
+    + _CLOSED
     + """
-SELECT b.cluster, b.doc_id, coalesce(string_agg(DISTINCT r.consequent, ' ' ORDER BY r.consequent), '') AS prediction
-FROM baskets b LEFT JOIN rules r ON r.cluster = b.cluster AND list_has_all(b.items, r.antecedent)
-  AND NOT list_contains(b.items, r.consequent)
-GROUP BY b.cluster, b.doc_id
+SELECT b.cluster, b.doc_id, coalesce(prediction, '') AS prediction
+FROM baskets b LEFT JOIN (
+  SELECT doc_id, string_agg(DISTINCT consequent, ' ' ORDER BY consequent) AS prediction
+  FROM (SELECT cluster, unnest(holders) AS doc_id, consequent FROM rules) r JOIN baskets b USING (cluster, doc_id)
+  WHERE NOT list_contains(b.items, r.consequent) GROUP BY doc_id
+) USING (doc_id)
 """
 )
 def predicted_items(spark, d):
-    models, baskets = _models(spark, d)
-    predicted = P.predicted_items(models, baskets)
+    predicted = S.predicted_words(_closed(spark, d), "doc_id", CONFIDENCE)
     return predicted.select("cluster", "doc_id", F.array_join("prediction", " ").alias("prediction"))

@@ -1,4 +1,6 @@
 import itertools
+import math
+import random
 
 import numpy as np
 import pytest
@@ -6,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hemicycle.functions.vectors import to_vector
+from hemicycle.operators import closed_sets as CS
 from hemicycle.operators import clusters as C
 from hemicycle.operators import features as L
 from hemicycle.operators import patterns as P
@@ -140,3 +143,71 @@ def test_rules_are_matched_by_all_their_words(spark):
         1: ["c", "d"], 2: ["c", "d"], 3: [], 4: ["a"], 5: [], 6: ["z"], 7: [], 8: [], 9: [], 10: []
     }
     assert "UDF" not in found._jdf.queryExecution().toString()
+
+
+def plain_closed(rows, support):
+    """Closed sets of each cluster as intersections of baskets, with their frequency."""
+    out = {}
+    for c in {c for c, _, _ in rows}:
+        baskets = [frozenset(w for w in items or () if w is not None) for k, _, items in rows if k == c]
+        need = max(1, math.ceil(round(support * len(baskets), 9)))
+        met = set()
+        for b in baskets:
+            met |= {b} | {b & m for m in met}
+        for m in met:
+            n = sum(m <= b for b in baskets)
+            if m and n >= need:
+                out[c, tuple(sorted(m))] = n
+    return out
+
+
+def random_baskets(seed):
+    rng = random.Random(seed)
+    rows = [(1, k, rng.sample("abcdefgh", rng.randint(0, 6))) for k in range(90)]
+    long = [f"w{k:02}" for k in range(60)]
+    rows += [(2, 100 + k, [*long, "x", "x"] if k % 2 else [*long[:30], "y"]) for k in range(10)]
+    return rows + [(3, 200, None), (3, 201, ["a", None]), (3, 202, ["a", "b"]), (None, 300, ["a"])]
+
+
+@pytest.mark.parametrize("support", [0.05, 0.3])
+def test_closed_sets_rules_and_predictions(spark, support):
+    rows = random_baskets(3)
+    df = spark.createDataFrame(rows, "cluster int, basket int, items array<string>")
+    found = CS.closed_sets(df, "cluster", "basket", "items", support)
+    rows = [r for r in rows if r[0] is not None]
+    want = plain_closed(rows, support)
+    assert {(r.cluster, tuple(r["items"])): r.freq for r in CS.frequent_closed_sets(found).collect()} == want
+
+    held = {b: (c, frozenset(w for w in items or () if w)) for c, b, items in rows}
+    size = {c: sum(k == c for k, _ in held.values()) for c in (1, 2, 3)}
+    rules, told = {}, {b: set() for b in held}
+    for (c, d), n in want.items():
+        for w in {w for k, b in held.values() if k == c for w in b} - set(d):
+            both = sum(k == c and {*d, w} <= b for k, b in held.values())
+            if both >= max(1, math.ceil(round(support * size[c], 9))) and both / n >= 0.1:
+                alone = sum(k == c and w in b for k, b in held.values())
+                rules[c, d, w] = (both / n, both / n / (alone / size[c]), both / size[c])
+                for b, (k, words) in held.items():
+                    if k == c and set(d) <= words and w not in words:
+                        told[b].add(w)
+    got = {(r.cluster, tuple(r.antecedent), r.consequent[0]): (r.confidence, r.lift, r.support) for r in CS.closed_rules(found).collect()}
+    assert got.keys() == rules.keys() and all(v == pytest.approx(rules[k]) for k, v in got.items())
+    assert {r.basket: r.prediction for r in CS.predicted_words(found, "basket").collect()} == {b: sorted(w) for b, w in told.items()}
+
+
+def test_closed_sets_say_as_much_as_all_frequent_sets(spark):
+    """Frequencies of all sets that FP-growth lists follow from the closed ones; infrequent sets have none."""
+    rows = [r for r in random_baskets(3) if r[0] == 1]
+    df = spark.createDataFrame(rows, "cluster int, basket int, items array<string>")
+    found = CS.closed_sets(df, "cluster", "basket", "items", 0.05)
+    listed = P.frequent_sets(P.per_cluster(df, "cluster", [1], min_support=0.05)).select("cluster", "items", F.col("freq").alias("want"))
+    rare = spark.createDataFrame([(1, list("abcdefgh"), None), (1, ["a", "zz"], None)], "cluster int, items array<string>, want long")
+    asked = listed.unionByName(rare)
+    got = CS.frequency_of(found, asked).collect()
+    assert len(got) == listed.count() + 2 > 50 and all(r.freq == r.want for r in got)
+
+
+def test_closed_sets_of_no_baskets(spark):
+    df = spark.createDataFrame([], "cluster int, basket int, items array<string>")
+    found = CS.closed_sets(df, "cluster", "basket")
+    assert CS.frequent_closed_sets(found).count() == CS.closed_rules(found).count() == CS.predicted_words(found, "basket").count() == 0
