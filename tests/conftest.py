@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__driver__memory="4g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
