@@ -74,17 +74,3 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def in_buckets(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """Write a table in buckets of its key, one per shuffle partition, and read it back.
-
-    Joins on that key then leave the table where it is and shuffle the other side only. The
-    table is external: its files are in the shared folder, its name in the session's catalog.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, *columns).write.bucketBy(n, *columns).option("path", path).saveAsTable(table)
-    return spark.table(table)
