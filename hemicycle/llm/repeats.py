@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .anchors import Kind, by_document, candidates, collapsed, keyed, same_document, units
+from .anchors import Kind, by_document, candidates, collapsed, keyed, mixed, same_document, units
 from .intervals import repeated_starts
 
 #: A window of 35 words, found by its 9-word anchor; names double from 9 to 18 to 35 words.
@@ -50,13 +50,17 @@ def window_names(data: bytes, starts: np.ndarray, length: int, kind: Kind) -> tu
         if length <= kind.gram:
             return hashes.of(start, start + length)
         half = (length + 1) // 2
-        left, right = name(start, half), name(start + length - half, half)
-        return (left * np.uint64(0xD6E8FEB86659FD93)) ^ (right + (left >> np.uint64(29)))
+        return joined_names(name(start, half), name(start + length - half, half))
 
     half = (length + 1) // 2
     return name(starts, half), name(starts + length - half, half)
 
 
+def joined_names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One name for a pair of names."""
+    return mixed((left * np.uint64(0xD6E8FEB86659FD93)) ^ (right + (left >> np.uint64(29))))
+
+
 def _name_batch(ids: list, hashes: list, starts: list[np.ndarray], names: list[tuple]) -> pa.RecordBatch:
     """Rows of named windows; equal ones of the batch are collapsed into one with their number."""
     sizes = [len(s) for s in starts]
@@ -74,14 +78,14 @@ def _name_batch(ids: list, hashes: list, starts: list[np.ndarray], names: list[t
 
 
 def _repeated_names(named: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, start, more, left, right`` of what is done or has a name that occurs twice or more.
+    """``doc_id, text_hash, start, more`` of what is done or has a name that occurs twice or more.
 
     Names are counted first, so a name of any frequency sends one row per task, and the rows
     are joined with the counts, where Spark splits frequent names.
     """
     often = named.where("not done").groupBy("left", "right").agg(F.sum("n").alias("all")).where("all > 1")
     met = named.where("not done").join(often.drop("all"), ["left", "right"], "left_semi")
-    columns = ["doc_id", "text_hash", "start", "more", "left", "right"]
+    columns = ["doc_id", "text_hash", "start", "more"]
     return named.where("done").select(columns).unionByName(met.select(columns))
 
 
@@ -91,7 +95,8 @@ def _level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, names = [], []
         for text, spans in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
             starts.append(_starts(spans, WORDS.length - LEVEL))
-            names.append(window_names(text.as_py(), starts[-1], LEVEL, WORDS))
+            name = joined_names(*window_names(text.as_py(), starts[-1], LEVEL, WORDS))
+            names.append((name, np.zeros(len(name), np.uint64)))
         yield _name_batch(batch.column(0).to_pylist(), batch.column(1).to_pylist(), starts, names)
 
 
@@ -106,15 +111,16 @@ def repeated_words(texts: DataFrame) -> DataFrame:
     """
     settled, open_ = candidates(texts, WORDS, "words")
     names = stored(_joined(texts, open_, "inner", "start", "more").mapInArrow(_level, _FOUND), "level-names")
-    left = _repeated_names(names).select("doc_id", "text_hash", "start", F.xxhash64("left", "right").alias("left"))
-    left = stored(left, "level-left")
+    # Equal names of a batch are one row with their number, so one shuffle counts and returns them.
+    often = names.where("not done").withColumn("all", F.sum("n").over(Window.partitionBy("left"))).where("all > 1")
+    place = ["doc_id", "text_hash", "start", "left"]
+    left = stored(names.where("done").select(place).unionByName(often.select(place)), "level-left")
     right = left.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("left").alias("right"),
                         (F.col("start") - (WORDS.length - LEVEL)).alias("of_start"))
     pairs = left.join(right, same_document() & (F.col("start") == F.col("of_start")))
     pairs = pairs.select("doc_id", "text_hash", "start", F.lit(0).alias("more"), "left", "right", F.lit(1).cast("long").alias("n"),
                          F.lit(False).alias("done"))
-    place = ["doc_id", "text_hash", "start", "more"]
-    return settled.unionByName(_repeated_names(pairs).select(place))
+    return settled.unionByName(_repeated_names(pairs))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +224,7 @@ def repeated_bytes(texts: DataFrame) -> DataFrame:
     cut = stored(_joined(texts, open_, "inner", "start", "more", "anchor", "hot").mapInArrow(_cut, _SEGMENTS), "segments")
     cold = cut.where("not hot").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_expand, _FOUND)
     found = stored(cold.unionByName(cut.where("hot").mapInArrow(_name_segments, _FOUND)), "found-strings")
-    place = ["doc_id", "text_hash", "start", "more"]
-    return settled.unionByName(_repeated_names(found).select(place))
+    return settled.unionByName(_repeated_names(found))
 
 
 def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray:
