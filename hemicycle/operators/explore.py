@@ -117,7 +117,7 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """
     x = F.col(value).cast("double")
     counts = scale.value_counts(df.select(x.alias("_x")), "_x", [])
-    low, high = counts.agg(F.min("_x")).scalar(), counts.agg(F.max("_x")).scalar()
+    low, high = (F.lit(v).cast("double") for v in counts.agg(F.min("_x"), F.max("_x")).first())
     placed = F.when(high > low, F.least(F.width_bucket("_x", low, high, F.lit(bins)), F.lit(bins)))
     binned = (
         counts.select(F.coalesce(placed, F.lit(1)).cast("int").alias("bin"), "_c")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, to_vector
-from .explore import drop_clusters, top_per_group, wide_by_rank
+from .explore import drop_clusters, labels_of, top_per_group, wide_by_rank
 
 
 def centroids(df: DataFrame, cluster: str, vector: str, out: str = "centroid") -> DataFrame:
@@ -47,10 +47,16 @@ def representative_texts(
     vector: str,
     row_id: str,
     text: str,
-    labels: Sequence[int],
+    labels: Sequence[int] | None = None,
     n: int = 20,
+    excluded: Sequence[int] = (),
 ) -> DataFrame:
-    """Rank by cluster table of representative texts; texts are joined after the cut."""
+    """Rank by cluster table of representative texts; texts are joined after the cut.
+
+    Without ``labels`` every label that occurs gets a column, but for the ``excluded`` ones.
+    """
+    if labels is None:
+        labels = [c for c in labels_of(df, cluster) if c is not None and c not in excluded]
     picked = representatives(df.filter(F.col(cluster).isin(*labels)), cluster, vector, row_id, n)
     with_text = picked.select(row_id, cluster, "rank").join(texts.select(row_id, text), row_id)
     return wide_by_rank(with_text, "rank", cluster, text, labels)

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 YEAR, WEEK = 365.25, 7.0
 
@@ -153,6 +156,61 @@ def forecast(series: DataFrame, periods: int = 2000, design: Design = Design())
     return components(fit(series, design), future_days(series, periods))
 
 
+def residuals(series: DataFrame, model: DataFrame) -> DataFrame:
+    """``(cluster, ds, y, yhat, residual)`` of the days a model was fitted to."""
+    fitted = components(model, series.select("cluster", "ds")).select("cluster", "ds", "yhat")
+    return series.join(fitted, ["cluster", "ds"]).select("cluster", "ds", "y", "yhat", (F.col("y") - F.col("yhat")).alias("residual"))
+
+
+def forecast_intervals(series: DataFrame, periods: int = 2000, design: Design = Design(), coverage: float = 0.8) -> DataFrame:
+    """``(cluster, ds, yhat, low, high)``: the forecast with the interval that holds ``coverage`` of the outcomes.
+
+    After the history the trend may change as often per day as it could before, by Laplace
+    distributed amounts as large on average as the changes found. The variance that
+    simulated changes of this kind have is known: with ``s`` possible changes over the
+    history and mean size ``d`` it is ``2 s d^2 (t - 1)^3 / 3`` at ``t`` histories from
+    the start. It is added to that of the residuals, and no paths have to be drawn.
+    """
+    model = stored(fit(series, design), "series-model")
+    noise = residuals(series, model).groupBy("cluster").agg(F.avg(F.col("residual") * F.col("residual")).alias("_noise"))
+    size = F.aggregate("bends", F.lit(0.0), lambda s, x: s + F.abs(x)) / F.greatest(F.size("bends"), F.lit(1))
+    spread = model.select("cluster", "start", "span", F.size("bends").alias("_s"), size.alias("_d")).join(noise, "cluster")
+    ahead = F.greatest(F.date_diff("ds", "start") / F.col("span") - 1, F.lit(0.0))
+    variance = F.col("_noise") + 2 * F.col("_s") * F.col("_d") * F.col("_d") * F.pow(ahead, 3) / 3
+    half = NormalDist().inv_cdf((1 + coverage) / 2) * F.sqrt(variance)
+    rows = components(model, future_days(series, periods)).select("cluster", "ds", "yhat").join(spread, "cluster")
+    return rows.select("cluster", "ds", "yhat", (F.col("yhat") - half).alias("low"), (F.col("yhat") + half).alias("high"))
+
+
+def normal_gaps(series: DataFrame, model: DataFrame, design: Design = Design()) -> DataFrame:
+    """``(cluster, term, n, gap)``: how far each term is from its normal equation, as a share of the sum of all counts.
+
+    At the least squares solution the residuals are orthogonal to every term, and to a possible trend change
+    but for the ridge times its coefficient.
+    """
+    day = F.date_diff("ds", F.lit("1970-01-01").cast("date"))
+    t = F.date_diff("ds", "start") / F.col("span")
+
+    def term(name: str, number: Column, x: Column, due: Column) -> Column:
+        return F.struct(F.concat(F.lit(name), number.cast("string")).alias("term"), x.cast("double").alias("x"), due.alias("due"))
+
+    def season(name: str, period: float) -> Column:
+        def harmonic(w: Column, i: Column) -> Column:
+            angle = 2 * math.pi * (F.floor(i / 2) + 1) * day / period
+            return term(f"{name} ", i + 1, F.when(i % 2 == 0, F.sin(angle)).otherwise(F.cos(angle)), F.lit(0.0))
+
+        return F.transform(name, harmonic)
+
+    bends = F.transform("knots", lambda k, i: term("bend ", i + 1, F.greatest(t - k, F.lit(0.0)), F.element_at("bends", i + 1) * design.ridge))
+    fixed = F.array(term("offset", F.lit(""), F.lit(1.0), F.lit(0.0)), term("slope", F.lit(""), t, F.lit(0.0)))
+    rows = residuals(series, model).join(model, "cluster")
+    terms = rows.select("cluster", "y", "residual", F.explode(F.concat(fixed, bends, season("yearly", YEAR), season("weekly", WEEK))).alias("e"))
+    sums = terms.groupBy("cluster", "e.term").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("e.x") * F.col("residual")).alias("_sum"), F.first("e.due").alias("_due"), F.sum(F.abs("y")).alias("_y")
+    )
+    return sums.select("cluster", "term", "n", (F.abs(F.col("_sum") - F.col("_due")) / F.greatest("_y", F.lit(1.0))).alias("gap"))
+
+
 def counterfactual(series: DataFrame, cutoff: str, design: Design = Design()) -> DataFrame:
     """``(cluster, ds, yhat, y, difference)`` after the cutoff, from a fit up to it.
 

@@ -324,6 +324,7 @@ def representatives(spark, d):
     return top.select("cluster", "rank", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+#: Labels of the given tables, for the SQL; the query takes them from the data.
 _SHOWN = [c for c in range(10) if c not in K.UNREPRESENTED_CLUSTERS]
 
 
@@ -337,7 +338,7 @@ _SHOWN = [c for c in range(10) if c not in K.UNREPRESENTED_CLUSTERS]
 def representative_texts(spark, d):
     """Rank by cluster table of the texts nearest to the cluster means."""
     texts = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), F.md5("text").alias("text"))
-    return R.representative_texts(vectors(spark, d), texts, "cluster", "vector", "vec_id", "text", _SHOWN)
+    return R.representative_texts(vectors(spark, d), texts, "cluster", "vector", "vec_id", "text", excluded=K.UNREPRESENTED_CLUSTERS)
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as S
+from ..session import stored
 from .registry import query
 from .tables import table
 
@@ -86,6 +87,47 @@ def linear_forecast(spark, d):
     return _text_day(out.select("cluster", "ds", F.round("yhat", 5).alias("yhat")))
 
 
+@query(
+    "WITH"
+    + _DAILY
+    + ","
+    + _FIT.format(where="true")
+    + """,
+noise AS (SELECT cluster, sqrt(avg(pow(y - a - b * date_diff('day', DATE '1990-01-01', ds), 2))) AS s FROM daily JOIN fit USING (cluster) GROUP BY cluster),
+span AS (SELECT cluster, max(ds) AS b FROM daily GROUP BY cluster),
+days AS (
+  SELECT cluster, ds FROM daily UNION ALL
+  SELECT cluster, unnest(generate_series(b + INTERVAL 1 DAY, b + INTERVAL 2000 DAY, INTERVAL 1 DAY))::DATE FROM span
+)
+SELECT d.cluster, d.ds::VARCHAR AS ds, round(a + b * date_diff('day', DATE '1990-01-01', d.ds) - 1.2815515655446004 * s, 5) AS low,
+  round(a + b * date_diff('day', DATE '1990-01-01', d.ds) + 1.2815515655446004 * s, 5) AS high
+FROM days d JOIN fit USING (cluster) JOIN noise USING (cluster)
+"""
+)
+def linear_intervals(spark, d):
+    """Where four of five counts lie under a straight-line trend."""
+    out = S.forecast_intervals(_orders(spark, d), 2000, LINE)
+    return _text_day(out.select("cluster", "ds", F.round("low", 5).alias("low"), F.round("high", 5).alias("high")))
+
+
+@query(
+    "WITH"
+    + _DAILY
+    + """,
+terms AS (
+  SELECT 'offset' AS term UNION ALL SELECT 'slope' UNION ALL SELECT 'bend ' || k FROM range(1, 26) t(k)
+  UNION ALL SELECT 'yearly ' || k FROM range(1, 21) t(k) UNION ALL SELECT 'weekly ' || k FROM range(1, 7) t(k)
+)
+SELECT cluster, term, count(*) AS n, 0.0::DOUBLE AS gap FROM daily, terms GROUP BY cluster, term
+"""
+)
+def seasonal_normal_equations(spark, d):
+    """Every term of the full model meets its normal equation over all days."""
+    daily = stored(_orders(spark, d), "daily")
+    gaps = S.normal_gaps(daily, S.fit(daily))
+    return gaps.withColumn("gap", F.round("gap", 6))
+
+
 @query()
 def forecast_components(spark, d):
     """Trend, weekly and yearly parts under the full model."""

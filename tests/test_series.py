@@ -1,5 +1,6 @@
 import datetime
 import math
+import random
 
 import pytest
 
@@ -52,3 +53,36 @@ def test_counts_and_zero_fill(spark):
     df = spark.createDataFrame(stamps, "c int, ts string")
     filled = S.zero_filled(S.daily_counts(df, "c", "ts")).orderBy("cluster", "ds").collect()
     assert [(r["cluster"], r["ds"].day, r["y"]) for r in filled] == [(1, 1, 2), (1, 2, 0), (1, 3, 1), (2, 5, 1)]
+
+
+def test_intervals_are_as_wide_as_simulated_changes_make_them(spark):
+    """Against paths with drawn changes; inside the history only the residuals count."""
+    rng = random.Random(6)
+    values = [(i, 20 + abs(i - 300) * 0.05 + rng.gauss(0, 1)) for i in range(600)]
+    design = S.Design(changepoints=10, yearly=0, weekly=0, ridge=0.01)
+    df = frame(spark, values)
+    rows = {(r["ds"] - START).days: r for r in S.forecast_intervals(df, 300, design, 0.8).collect()}
+    model = S.fit(df, design).first()
+    half = {i: (r["high"] - r["low"]) / 2 for i, r in rows.items()}
+    noise = half[0] / 1.2815515655446004
+    assert 0.9 < noise < 1.2 and half[599] == pytest.approx(half[0]) and half[899] > half[700] > half[599]
+    size = sum(map(abs, model["bends"])) / len(model["bends"])
+    draws, t = [], 899 / model["span"]
+    for _ in range(20000):
+        path, at = 0.0, 1 + rng.expovariate(len(model["bends"]))
+        while at < t:
+            path += rng.choice((-1, 1)) * rng.expovariate(1 / size) * (t - at)
+            at += rng.expovariate(len(model["bends"]))
+        draws.append(path)
+    simulated = math.sqrt(sum(x * x for x in draws) / len(draws))
+    assert math.sqrt((half[899] / 1.2815515655446004) ** 2 - noise**2) == pytest.approx(simulated, rel=0.06)
+
+
+def test_normal_equations_hold_at_the_fit_only(spark):
+    rng = random.Random(7)
+    df = frame(spark, [(i, 10 + 0.01 * i + rng.random() * 5) for i in range(900)])
+    model = S.fit(df)
+    gaps = S.normal_gaps(df, model).collect()
+    assert len(gaps) == 2 + 25 + 20 + 6 and all(r["n"] == 900 and r["gap"] < 1e-9 for r in gaps)
+    off = model.withColumn("slope", model["slope"] + 0.5)
+    assert max(r["gap"] for r in S.normal_gaps(df, off).collect()) > 1e-3
