@@ -30,6 +30,9 @@ BYTES_A_WORD = 256
 SEGMENT = 1 << 14
 #: Hashes that a task gathers before it notes them.
 FLUSH = 1 << 20
+#: A key of more documents than this does not meet in one task; rises with the table, so that
+#: at most MAX_HOT keys do so.
+HOT_ROWS, MAX_HOT = 4096, 100_000
 #: Filter words (16 bytes each) that are sent to every task; beyond that hashes are joined with the words.
 SENT_WORDS = 1 << 21
 
@@ -235,6 +238,13 @@ def drop_common_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     n_words = 1 << max(4, int(size // BYTES_A_WORD).bit_length())
     held = stored(suspected_lines(texts, n_words, sent_words), "suspected-lines")
     counted = held.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= least_docs)
-    gone = held.join(counted, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    counted = stored(counted, "common-lines")
+    # Keys of very many documents, MAX_HOT at most, are sent to every task by their digest; their rows do not meet.
+    limit = max(HOT_ROWS, -(-held.count() // MAX_HOT))
+    hot = counted.where(F.col("n") > limit).select(F.sha2("key", 256).alias("_digest"), F.col("keeper").alias("_keeper"), F.lit(True).alias("_hot"))
+    dealt = held.withColumn("_digest", F.sha2("key", 256)).join(F.broadcast(hot), "_digest", "left").drop("_digest")
+    rare = dealt.where("_hot is null").drop("_hot", "_keeper").join(counted.drop("n"), "key")
+    often = dealt.where("_hot").select("key", "doc_id", "text_hash", "lines", F.col("_keeper").alias("keeper"))
+    gone = rare.unionByName(often).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     both = texts.join(by_document(gone, "lines"), same_document(), "left").select("doc_id", "text_hash", "text", "spans")
     return both.mapInArrow(_rest, "doc_id long, n_lines long, n_dropped long, kept binary")

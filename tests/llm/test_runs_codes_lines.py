@@ -179,6 +179,7 @@ def test_common_lines_against_counts(spark, monkeypatch, sent, words):
     if words:
         monkeypatch.setattr(lines, "BYTES_A_WORD", 1 << 40)
         monkeypatch.setattr(lines, "FLUSH", 7)
+        monkeypatch.setattr(lines, "HOT_ROWS", 20)
     rows = line_rows(1)
     docs = make(spark, rows, ("key", "lines", "word", "bits", "spans", "n")).repartition(5)
     got = lines.drop_common_lines(docs, sent_words=sent).collect()
