@@ -76,9 +76,12 @@ def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(cluster, doc_id, keywords)`` for documents that have a vector."""
+    """``(cluster, doc_id, keywords)`` for documents that have a vector; other documents count in their source only."""
     labels = clusters(spark, sf_dir).withColumnRenamed("intervention_id", "doc_id")
-    return document_keywords(spark, sf_dir).join(labels, "doc_id").select("cluster", "doc_id", "keywords")
+    documents = table(spark, sf_dir, "documents")
+    wanted = documents.join(labels, "doc_id", "left_semi")
+    found = keywords.keyword_arrays(documents, "source", "doc_id", "text", K.STOP_WORDS, digits=9, only=wanted)
+    return found.join(labels, "doc_id").select("cluster", "doc_id", "keywords")
 
 
 #: Lines put before the turns of a conversation to make a gazette of it.
