@@ -11,6 +11,7 @@ from ..operators import closed_sets as S
 from ..operators import clusters as C
 from ..operators import features as L
 from ..operators import representatives as R
+from ..operators import splitting as X
 from ..session import stored
 from . import sql as Q
 from .registry import query
@@ -281,6 +282,109 @@ def final_labels(spark, d):
     return _sizes(C.reduce_and_label(df, "vector", 10, components=min(172, _dimension(df))))
 
 
+# --- all cluster counts at once ----------------------------------------------
+
+#: Largest cluster count of the sweep, and passes that refine all sets together.
+SPLIT_K, SPLIT_ROUNDS = 10, 10
+
+
+def _split_sql(max_k: int, rounds: int) -> str:
+    """CTEs of the passes: ``s{t}`` holds the centres before pass ``t``, ``u{t}`` the sums of their clusters.
+
+    The last ``a{t}`` assigns the rows to the final centres.
+    """
+    last = max_k - 1 + rounds
+    parts = [
+        """
+e AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+s0 AS MATERIALIZED (
+  SELECT 1 AS k, 0 AS c, list(m ORDER BY i) AS centre
+  FROM (SELECT i, avg(v[i]) AS m FROM (SELECT v, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY i)
+)"""
+    ]
+    for t in range(last + 1):
+        parts.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT vec_id, v, k, arg_min(c, ROW(d, c)) AS c, min(d) AS d
+  FROM (SELECT vec_id, v, k, c, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - centre[i]) ** 2)) AS d
+        FROM e, s{t})
+  GROUP BY vec_id, v, k
+),
+w{t} AS MATERIALIZED (
+  SELECT k, c, i, n, m, q - n * m * m AS scatter, CASE WHEN n > 0 THEN m END AS mean FROM (
+    SELECT k, c, i, count(*) AS n, avg(v[i]) AS m, sum(v[i] * v[i]) AS q
+    FROM (SELECT k, c, v, unnest(range(1, len(v) + 1)) AS i FROM a{t}) GROUP BY k, c, i)
+)""")
+        if t == last:
+            break
+        grow = t + 1 < max_k
+        parts.append(f"""
+m{t} AS MATERIALIZED (
+  SELECT s.k, s.c, coalesce(n.centre, s.centre) AS centre
+  FROM s{t} s LEFT JOIN (SELECT k, c, list(m ORDER BY i) AS centre FROM w{t} GROUP BY k, c) n USING (k, c)
+),
+s{t + 1} AS MATERIALIZED (
+  SELECT k, c, centre FROM m{t}""" + (f"""
+  UNION ALL
+  SELECT k + 1, CASE WHEN side = 1 THEN k ELSE m.c END,
+         CASE WHEN m.c = b.c THEN list_transform(range(1, len(centre) + 1), lambda j:
+           centre[j] + CASE WHEN j = b.i THEN side * sqrt(b.scatter / b.n) ELSE 0 END) ELSE centre END
+  FROM m{t} m, (
+    SELECT c, i, scatter, n FROM w{t} JOIN (
+      SELECT c FROM w{t} WHERE k = {t + 1} GROUP BY c ORDER BY sum(scatter) DESC, c LIMIT 1) widest USING (c)
+    WHERE k = {t + 1} ORDER BY scatter DESC, i LIMIT 1) b, (VALUES (-1), (1)) z(side)
+  WHERE m.k = {t + 1} AND (m.c = b.c OR side = -1)""" if grow else "") + """
+)""")
+    return ",".join(parts)
+
+
+_SPLIT_SQL = _split_sql(SPLIT_K, SPLIT_ROUNDS)
+_LAST = SPLIT_K - 1 + SPLIT_ROUNDS
+
+
+@query(
+    f"""
+WITH {_SPLIT_SQL},
+z AS MATERIALIZED (
+  SELECT k, c, n, list(m ORDER BY i) AS mean, sum(scatter) AS scatter FROM w{_LAST} GROUP BY k, c, n
+),
+away AS (
+  SELECT a.vec_id, a.k, a.c, a.d, z.c AS other, z.n,
+         (list_distance(a.v, z.mean) ** 2 + z.scatter / z.n)
+         * CASE WHEN z.c = a.c THEN z.n / greatest(z.n - 1, 1) ELSE 1 END AS far
+  FROM a{_LAST} a JOIN z USING (k)
+),
+s AS (
+  SELECT vec_id, k, any_value(d) AS d, max(CASE WHEN c = other THEN far END) AS a,
+         max(CASE WHEN c = other THEN n END) AS n, min(CASE WHEN c <> other THEN far END) AS b
+  FROM away GROUP BY vec_id, k
+)
+SELECT k::INT AS k, (SELECT count(*) FROM z WHERE z.k = s.k)::INT AS filled, round(sum(d), 5) AS inertia,
+       CASE WHEN k > 1 THEN round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
+       END AS silhouette
+FROM s GROUP BY k
+"""
+)
+def split_sweep(spark, d):
+    """Inertia and silhouette of k-means for every cluster count up to ten, from shared passes."""
+    scores = X.split_sets(vectors(spark, d), "vector", SPLIT_K, SPLIT_ROUNDS).scores(spark)
+    return scores.select(
+        "k", "filled", F.round("inertia", 5).alias("inertia"),
+        F.when(~F.isnan("silhouette"), F.round("silhouette", 6)).alias("silhouette"),
+    )
+
+
+@query(f"WITH {_SPLIT_SQL} SELECT vec_id, k::INT AS k, c::INT AS cluster FROM a{_LAST}")
+def split_labels(spark, d):
+    """The cluster of every row for every cluster count up to ten."""
+    rows = vectors(spark, d)
+    sets = X.split_sets(rows, "vector", SPLIT_K, SPLIT_ROUNDS).centres
+    names = [f"c{k + 1}" for k in range(len(sets))]
+    labelled = X.with_split_labels(rows.select("vec_id", "vector"), "vector", sets, names)
+    entries = F.array(*[F.struct(F.lit(k + 1).alias("k"), F.col(n).alias("cluster")) for k, n in enumerate(names)])
+    return labelled.select("vec_id", F.inline(entries))
+
+
 # --- representatives ---------------------------------------------------------
 
 _SIMILAR = (
