@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import text as X
 from ..functions import tokens as N
-from ..operators import assembly, explore, normalize, segments
+from ..operators import assembly, explore, lemma_rules, normalize, segments
 from ..session import stored
 from . import sql as Q
 from .registry import query
@@ -257,6 +257,125 @@ def lemma_tokens(spark, d):
     return _token_rows(out, "tokens")
 
 
+# --- lemma rules -------------------------------------------------------------
+
+_MAX_SUFFIX, _MIN_COUNT = 5, 2
+
+_KNOWN_SQL = f"""
+vocabulary AS MATERIALIZED (
+  SELECT DISTINCT word FROM (SELECT unnest({_CONTENT}) AS word FROM documents)
+),
+plurals AS MATERIALIZED (
+  SELECT word, min(lemma) AS lemma FROM (
+    SELECT v.word, s.word AS lemma FROM vocabulary v JOIN vocabulary s ON v.word = s.word || 'es'
+    UNION ALL
+    SELECT v.word, s.word AS lemma FROM vocabulary v JOIN vocabulary s ON v.word = s.word || 's'
+  ) GROUP BY word
+),
+known AS MATERIALIZED (
+  SELECT word, lemma, substr(md5(word), 1, 1) < '8' AS low FROM (
+    SELECT word, lemma FROM plurals
+    UNION ALL
+    SELECT DISTINCT lemma, lemma FROM plurals WHERE lemma NOT IN (SELECT word FROM plurals))
+)"""
+
+
+def _rules_sql(source: str) -> str:
+    """The rules of a table of known words, as ``rules_{source}``."""
+    return f"""
+edits_{source} AS (
+  SELECT right(word, n) AS suffix, n, length(word) - p AS cut, substr(lemma, p + 1) AS added FROM (
+    SELECT word, lemma, unnest(range(1, least(length(word) - 1, {_MAX_SUFFIX}) + 1)) AS n,
+      list_max(list_filter(range(0, least(length(word), length(lemma)) + 1), lambda p: left(word, p) = left(lemma, p))) AS p
+    FROM {source})
+),
+counted_{source} AS (
+  SELECT suffix, cut, added, count(*) AS n FROM edits_{source} WHERE cut <= n GROUP BY ALL
+),
+rules_{source} AS MATERIALIZED (
+  SELECT suffix, cut, added FROM (
+    SELECT *, row_number() OVER (PARTITION BY suffix ORDER BY n DESC, cut, added) AS place FROM counted_{source})
+  JOIN (SELECT suffix, count(*) AS total FROM edits_{source} GROUP BY suffix) USING (suffix)
+  WHERE place = 1 AND n >= {_MIN_COUNT} AND 2 * n >= total
+)"""
+
+
+def _ruled_sql(words: str, rules: str) -> str:
+    return f"""
+SELECT word, left(word, length(word) - r.cut) || r.added AS lemma, r.suffix AS suffix FROM (
+  SELECT word, max(ROW(length(suffix), suffix, cut, added)::STRUCT(size BIGINT, suffix VARCHAR, cut BIGINT, added VARCHAR))
+         FILTER (cut IS NOT NULL) AS r
+  FROM (SELECT word, right(word, n) AS suffix FROM (SELECT word, unnest(range(0, least(length(word) - 1, {_MAX_SUFFIX}) + 1)) AS n FROM {words}))
+  LEFT JOIN {rules} USING (suffix) GROUP BY word)"""
+
+
+def _known_lemmas(spark, d):
+    """``vocabulary`` and the lemma table of its plurals in -es or -s; singulars are their own lemmas."""
+    surface = normalize.normalize_tokens(table(spark, d, "documents"), "doc_id", "text", K.STOP_WORDS, extra_stop=["artículo"])
+    vocabulary = stored(surface.select(F.explode("tokens").alias("word")).distinct(), "vocabulary")
+    endings = F.explode(F.array(F.lit("es"), F.lit("s"))).alias("ending")
+    formed = vocabulary.select(F.col("word").alias("lemma"), endings).withColumn("word", F.concat("lemma", "ending"))
+    plurals = formed.join(vocabulary, "word", "left_semi").groupBy("word").agg(F.min("lemma").alias("lemma"))
+    singulars = plurals.select(F.col("lemma").alias("word")).distinct().join(plurals, "word", "left_anti")
+    known = plurals.unionByName(singulars.withColumn("lemma", F.col("word")))
+    return vocabulary, stored(known, "lemmas")
+
+
+@query(
+    f"""
+WITH {_KNOWN_SQL},{_rules_sql("known")},
+lacking AS (SELECT word FROM vocabulary WHERE word NOT IN (SELECT word FROM known))
+{_ruled_sql("lacking", "rules_known")}
+"""
+)
+def learned_lemmas(spark, d):
+    """Lemmas by learnt suffix rules of all words that the lemma table lacks."""
+    vocabulary, known = _known_lemmas(spark, d)
+    rules = lemma_rules.learn_rules(known, _MAX_SUFFIX, _MIN_COUNT)
+    return lemma_rules.rule_lemmas(vocabulary.join(known, "word", "left_anti"), rules, _MAX_SUFFIX)
+
+
+@query(
+    f"""
+WITH {_KNOWN_SQL},
+low AS (SELECT word, lemma FROM known WHERE low),
+high AS (SELECT word, lemma FROM known WHERE NOT low),{_rules_sql("low")},{_rules_sql("high")},
+told AS (
+  SELECT 'high' AS fold, * FROM ({_ruled_sql("high", "rules_low")})
+  UNION ALL
+  SELECT 'low' AS fold, * FROM ({_ruled_sql("low", "rules_high")})
+)
+SELECT fold, coalesce(length(suffix), 0)::INT AS suffix_length, count(*) AS words, count(t.lemma) AS ruled,
+       count_if(coalesce(t.lemma = k.lemma, false))::BIGINT AS correct
+FROM told t JOIN known k USING (word) GROUP BY ALL
+"""
+)
+def lemma_rule_scores(spark, d):
+    """Words of each half of the lemma table against the rules learnt from the other half."""
+    _, known = _known_lemmas(spark, d)
+    low = F.left(F.md5("word"), F.lit(1)) < "8"
+    halves = {"low": known.filter(low), "high": known.filter(~low)}
+    told = [
+        lemma_rules.rule_lemmas(halves[fold], lemma_rules.learn_rules(halves[other], _MAX_SUFFIX, _MIN_COUNT), _MAX_SUFFIX)
+        .withColumn("fold", F.lit(fold))
+        .withColumnRenamed("lemma", "told")
+        for fold, other in (("low", "high"), ("high", "low"))
+    ]
+    return (
+        told[0].unionByName(told[1])
+        .join(known, "word")
+        .groupBy("fold", F.coalesce(F.length("suffix"), F.lit(0)).alias("suffix_length"))
+        .agg(
+            F.count(F.lit(1)).alias("words"),
+            F.count("told").alias("ruled"),
+            F.count_if(F.coalesce(F.col("told") == F.col("lemma"), F.lit(False))).alias("correct"),
+        )
+    )
+
+
+# --- sentences ---------------------------------------------------------------
+
+
 @query(
     f"SELECT doc_id, len(s)::INT AS n, md5(array_to_string(s, '|')) AS sentences_md5 "
     f"FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents)"
