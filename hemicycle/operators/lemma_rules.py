@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Suffixes of at most ``SHORT`` characters are few but end very many words: their join keys are dealt over ``SALTS``.
+SHORT, SALTS = 2, 64
+
+
 def _shared_prefix(a: Column, b: Column) -> Column:
     lengths = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)))
     return F.array_max(F.filter(lengths, lambda p: F.left(a, p) == F.left(b, p)))
@@ -53,11 +57,16 @@ def learn_rules(lemmas: DataFrame, max_suffix: int = 5, min_count: int = 2, min_
 def rule_lemmas(words: DataFrame, rules: DataFrame, max_suffix: int = 5) -> DataFrame:
     """``(word, lemma, suffix)`` per different word, by the rule of its longest suffix; nulls where none fits.
 
-    Null words are left out. ``max_suffix`` is that of the rules.
+    Null words are left out. ``max_suffix`` is that of the rules. Words with the same short suffix are
+    spread over several keys, to which the rules of short suffixes are repeated.
     """
+    short = F.length("suffix") <= SHORT
+    salt = F.when(short, F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     distinct = words.select("word").filter(F.col("word").isNotNull()).distinct()
     tried = distinct.select("word", F.explode_outer(_suffixes(F.col("word"), max_suffix)).alias("suffix"))
-    found = tried.join(rules.select("suffix", "cut", "added"), "suffix", "left")
+    salted = rules.select("suffix", "cut", "added", F.explode(salts).alias("_salt"))
+    found = tried.withColumn("_salt", salt).join(salted, ["suffix", "_salt"], "left")
     rule = F.when(F.col("cut").isNotNull(), F.struct(F.length("suffix").alias("size"), "suffix", "cut", "added"))
     longest = found.groupBy("word").agg(F.max(rule).alias("r"))
     stem = F.left(F.col("word"), F.length("word") - F.col("r.cut"))
