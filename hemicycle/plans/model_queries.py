@@ -379,6 +379,8 @@ def split_labels(spark, d):
     """The cluster of every row for every cluster count up to ten."""
     rows = vectors(spark, d)
     sets = X.split_sets(rows, "vector", SPLIT_K, SPLIT_ROUNDS).centres
+    if not sets:
+        return rows.select("vec_id", F.lit(0).alias("k"), F.lit(0).alias("cluster")).limit(0)
     names = [f"c{k + 1}" for k in range(len(sets))]
     labelled = X.with_split_labels(rows.select("vec_id", "vector"), "vector", sets, names)
     entries = F.array(*[F.struct(F.lit(k + 1).alias("k"), F.col(n).alias("cluster")) for k, n in enumerate(names)])

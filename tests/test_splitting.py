@@ -119,3 +119,13 @@ def test_nothing_to_fit(spark, rows):
 def test_a_vector_of_another_length_is_an_error(spark):
     with pytest.raises(Exception, match="must all have"):
         X.split_sets(frame(spark, [[1.0, 2.0], [1.0]]).coalesce(1), "x", 2)
+
+
+def test_queries_over_an_empty_table(spark, tmp_path):
+    from hemicycle.plans import QUERIES
+
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    empty.write.parquet(str(tmp_path / "embeddings.parquet"))
+    for name, columns in (("split_labels", ["vec_id", "k", "cluster"]), ("split_sweep", ["k", "filled", "inertia", "silhouette"])):
+        df = QUERIES[name](spark, str(tmp_path))
+        assert df.columns == columns and df.count() == 0
