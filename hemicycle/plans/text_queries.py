@@ -249,12 +249,11 @@ GROUP BY d.doc_id
 def lemma_tokens(spark, d):
     """Content tokens as lemmas; the lemma table maps a plural to a singular that occurs."""
     documents = table(spark, d, "documents")
-    surface = normalize.normalize_tokens(documents, "doc_id", "text", K.STOP_WORDS, extra_stop=["artículo"])
+    surface = stored(normalize.normalize_tokens(documents, "doc_id", "text", K.STOP_WORDS, extra_stop=["artículo"]), "surface")
     vocabulary = stored(surface.select(F.explode("tokens").alias("word")).distinct(), "vocabulary")
     singular = vocabulary.select(F.concat("word", F.lit("s")).alias("word"), F.col("word").alias("lemma"))
     lemmas = singular.join(vocabulary, "word", "left_semi")
-    out = normalize.normalize_tokens(documents, "doc_id", "text", K.STOP_WORDS, lemmas, extra_stop=["artículo"])
-    return _token_rows(out, "tokens")
+    return _token_rows(normalize.as_lemmas(surface, "doc_id", stored(lemmas, "lemmas")), "tokens")
 
 
 # --- lemma rules -------------------------------------------------------------

@@ -68,3 +68,13 @@ def test_words_literal_round_trip(spark):
     df = spark.createDataFrame([(words,)], "w array<string>")
     text = df.select(literals.words_literal(F.col("w")).alias("t"))
     assert text.select(literals.parse_words(F.col("t"))).first()[0] == words
+
+
+def test_lemmas_keep_every_row_and_its_order(spark):
+    """Rows of one id stay apart; null texts, null ids and texts without a lemma too."""
+    texts = [(1, "perros ven perros"), (1, "gatos ven"), (None, "gatos"), (2, None), (3, "")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    lemmas = spark.createDataFrame([("perros", "perro"), ("gatos", "gato")], "word string, lemma string")
+    rows = normalize_tokens(df, "id", "t", [], lemmas).collect()
+    found = sorted((str(r["id"]), r["tokens"]) for r in rows)
+    assert found == [("1", ["gato", "ven"]), ("1", ["perro", "ven", "perro"]), ("2", []), ("3", []), ("None", ["gato"])]
