@@ -14,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from . import features as L
 from ..functions.vectors import to_vector
-from ..session import side_by_side
+from ..session import side_by_side, stored
 from .explore import drop_clusters
 
 ALGORITHMS = {"kmeans": KMeans, "gmm": GaussianMixture}
@@ -99,8 +99,11 @@ def reduce_and_label(
 def two_rounds(
     df: DataFrame, vector: str, noise: int, first_k: int = 4, second_k: int = 5, seed: int = 0
 ) -> DataFrame:
-    """Label, drop the noise cluster, reduce again on what is left and relabel."""
-    first = reduce_and_label(df, vector, first_k, seed=seed)
+    """Label, drop the noise cluster, reduce again on what is left and relabel.
+
+    The first labels are stored, so that no stage runs the Python workers of both rounds.
+    """
+    first = stored(reduce_and_label(df, vector, first_k, seed=seed), "first-labels")
     kept = drop_clusters(first, [noise]).withColumnRenamed("cluster", "first_cluster")
     return reduce_and_label(kept, vector, second_k, seed=seed)
 

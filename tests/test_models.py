@@ -211,3 +211,11 @@ def test_closed_sets_of_no_baskets(spark):
     df = spark.createDataFrame([], "cluster int, basket int, items array<string>")
     found = CS.closed_sets(df, "cluster", "basket")
     assert CS.frequent_closed_sets(found).count() == CS.closed_rules(found).count() == CS.predicted_words(found, "basket").count() == 0
+
+
+def test_second_round_does_not_run_the_python_of_the_first(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in rng.normal(size=3) + 9 * (i % 8)]) for i in range(64)]
+    labelled = C.two_rounds(spark.createDataFrame(rows, "id int, v array<double>"), "v", 0)
+    assert labelled._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert 0 < labelled.count() < 64
