@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hemicycle.llm import anchors, intervals, repeats
@@ -129,3 +130,47 @@ def test_equal_spans_meet_however_texts_are_grouped():
     single = [anchors.spans([t], repeats.WORDS) for t in texts]
     for column in range(1, 5):
         assert np.array_equal(whole[column], np.concatenate([s[column] for s in single]))
+
+
+def near_copies(n):
+    """Copies of one text, each with a word of its own at a place of its own, and with one of some passages behind."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    common, tails = [word() for _ in range(140)], [[word() for _ in range(60)] for _ in range(5)]
+    docs = []
+    for k in range(n):
+        at = rng.randrange(len(common))
+        docs.append((k, " ".join([*common[:at], f"{word()}{k}", *common[at:], *rng.choice(tails)]), "a"))
+    return docs
+
+
+def test_a_large_anchor_gives_stretches_not_windows(monkeypatch):
+    """Spans of one anchor, more than an array holds: a few rows per span, whatever the size of the group."""
+    docs = near_copies(300)
+    texts = [t.encode() for _, t, _ in docs]
+    text, start, more, anchor, _ = anchors.spans(texts, repeats.BYTES)
+    most = Counter(anchor.tolist()).most_common(1)[0][0]
+    group = [k for k in range(len(text)) if anchor[k] == most]
+    rows = pa.table({
+        "anchor": pa.array([1] * len(group), pa.int64()), "doc_id": pa.array([int(text[k]) for k in group]),
+        "text_hash": pa.array([0] * len(group), pa.int64()), "start": pa.array([int(start[k]) for k in group], pa.int32()),
+        "data": pa.array([texts[text[k]][start[k] : start[k] + more[k] + 400] for k in group], pa.binary()),
+    })
+    monkeypatch.setattr(repeats, "ARRAY_BYTES", 20_000)
+    assert rows.column("data").nbytes > 4 * repeats.ARRAY_BYTES
+    found = [r for b in repeats._expand(iter(rows.to_batches())) for r in b.to_pylist()]
+    assert all(r["done"] for r in found) and len(found) < 4 * len(group)
+    windows = lambda k: range(int(start[k]), int(start[k] + more[k]) + 1)
+    seen = Counter(texts[text[k]][w : w + 400] for k in group for w in windows(k))
+    want = {(int(text[k]), w) for k in group for w in windows(k) if seen[texts[text[k]][w : w + 400]] > 1}
+    assert {(r["doc_id"], w) for r in found for w in range(r["start"], r["start"] + r["more"] + 1)} == want
+    assert want and len(want) < sum(len(windows(k)) for k in group)
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 24, 3000])
+def test_large_anchors_are_exact(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(repeats, "ARRAY_BYTES", 1500)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
+    docs = near_copies(80) + [(1000 + k, t, s) for k, t, s in shared_passages()]
+    got = repeats.remove_repeated_bytes(make(spark, docs).repartition(3)).collect()
+    assert sha(got) == plain_bytes([(k, t) for k, t, _ in docs])
